@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+Every model is a full-refresh batch job (views and overwritten tables); there is no watermark,
+event-time window, stateful operator or incremental model to rebuild.
+"""
