@@ -45,10 +45,26 @@ REGION_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def region_sql(column_sql: str) -> str:
+    """The region CASE as SQL text over ``column_sql``."""
+    arms = " ".join(f"WHEN {column_sql} IN ({', '.join(_sql_str(k) for k in keys)}) THEN '{region}'"
+                    for region, keys in REGION_KEYS.items())
+    return f"CASE {arms} ELSE '{DEFAULT_REGION}' END"
+
+
 def region_of(c: Column | str) -> Column:
-    """Region of a country name or code. Each key list becomes a hash ``InSet`` test, so this
-    is a per-row expression inside whole-stage codegen: no join, no shuffle."""
-    c = F.col(c) if isinstance(c, str) else c
+    """Region of a country name or code (NULL or unknown -> ROW).
+
+    Each key list becomes a hash ``InSet`` test, so this is a per-row expression inside
+    whole-stage codegen: no join, no shuffle. Given a column name, the CASE is built from SQL
+    text in one call.
+    """
+    if isinstance(c, str):
+        return F.expr(region_sql(f"`{c}`"))
     expr = None
     for region, keys in REGION_KEYS.items():
         cond = c.isin(*keys)
@@ -75,8 +91,16 @@ _LOOKUP_SCHEMA = StructType([StructField("_cc_name", StringType(), False),
 
 def country_code_table(spark: SparkSession,
                        mapping: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
-    """The spelling -> code dimension. Its size is fixed (305 rows), so broadcasting it is safe."""
-    return spark.createDataFrame(list(mapping or country_code_rows()), _LOOKUP_SCHEMA)
+    """The spelling -> code dimension. Its size is fixed (305 rows), so broadcasting it is safe.
+    Built once per session and mapping (a local relation shipped with the plan)."""
+    rows = mapping or country_code_rows()
+    key = (id(spark), hash(rows))
+    if key not in _TABLES:
+        _TABLES[key] = spark.createDataFrame(list(rows), _LOOKUP_SCHEMA)
+    return _TABLES[key]
+
+
+_TABLES: dict[tuple[int, int], DataFrame] = {}
 
 
 def with_country_code(df: DataFrame, col: str, out: str | None = None,

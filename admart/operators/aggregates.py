@@ -4,6 +4,7 @@ group is pre-reduced in every task before the shuffle."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def segment_sums(metrics: Mapping[str, Column | str], segments: Mapping[str, Col
         for sname, cond in segments.items():
             total = F.sum(F.when(cond, m).otherwise(F.lit(0)))
             if factor is not None:
-                total = total * F.lit(factor)
+                total = total * F.lit(Decimal(repr(factor)))
             out.append(total.alias(name.format(metric=mname, segment=sname)))
     return out
 

@@ -22,10 +22,8 @@ def dedupe_top1(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c not in order]
     parts = []
-    for c in order:
+    for c in [*order, *rest]:
         parts += [F.col(c).isNotNull().alias(f"__nn_{c}"), F.col(c).alias(c)]
-    parts += [F.col(c).isNotNull().alias(f"__nn_{c}") for c in rest]
-    parts += [F.col(c) for c in rest]
     best = df.groupBy(*keys).agg(F.max(F.struct(*parts)).alias("__best"))
     return best.select(*keys, *[F.col("__best")[c].alias(c) for c in order + rest]).select(*df.columns)
 

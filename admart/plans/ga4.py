@@ -66,7 +66,7 @@ def channel_revenue(sources: Mapping[str, DataFrame]) -> DataFrame:
     coded = with_country_code(named, "country", out="country_code")
     return coded.select(
         ads_platform(F.col("ga4_source_medium")).alias("ads_platform"),
-        region_of(F.col("country")).alias("region"),
+        region_of("country").alias("region"),
         "date", "country", "country_code", "sessions", "revenue", "purchasers",
         "dimension_session_medium", "dimension_session_source", "ga4_source_medium",
         "session_default_channel_group",
@@ -78,7 +78,7 @@ def monthly_users(sources: Mapping[str, DataFrame]) -> DataFrame:
     src = sources[DEMOGRAPHIC]
     keyed = src.select(
         F.trunc(F.to_date(F.col("date"), "yyyyMMdd"), "MM").alias("month"),
-        region_of(F.col("country")).alias("region"),
+        region_of("country").alias("region"),
         "totalUsers", "newUsers")
     return keyed.groupBy("month", "region").agg(
         F.round(F.sum("totalUsers"), 2).cast("double").alias("totalUsers"),

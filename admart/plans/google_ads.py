@@ -77,13 +77,16 @@ def campaigns(sources: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
         trailing(7).alias("campaign_spend_in_last_7_days"),
         trailing(14).alias("campaign_spend_in_last_14_days"),
     )
-    raw_country = F.upper(regexp_extract_or_null(F.col("campaign_name"), CAMPAIGN_COUNTRY))
+    rest = list(per_campaign.columns)
+    with_raw = per_campaign.select(
+        F.upper(regexp_extract_or_null(F.col("campaign_name"), CAMPAIGN_COUNTRY)).alias("__country"),
+        *rest)
+    raw_country = F.col("__country")
     country = first_match([(raw_country.isNull(), "not parsed"), (raw_country == "GB", "UK")],
                           default=raw_country)
-    rest = [c for c in per_campaign.columns]
-    return per_campaign.select(
+    return with_raw.select(
         campaign_category(F.col("campaign_name")).alias("category_from_campaign_name"),
-        region_of(raw_country).alias("region"),
+        region_of("__country").alias("region"),
         country.alias("country"),
         *rest)
 

@@ -128,7 +128,7 @@ def with_country_category(df: DataFrame) -> DataFrame:
     country = meta_country(adset, ad, camp)
     category = regexp_extract_or_null(ad, SECOND_BRACKET)
     return (df.withColumn("country", country)
-              .withColumn("region", region_of(F.col("country")))
+              .withColumn("region", region_of("country"))
               .withColumn("product_category", meta_category(category, ad, adset, camp)))
 
 

@@ -28,7 +28,7 @@ def new_returning_daily(sources: Mapping[str, DataFrame]) -> DataFrame:
     """daily_new_return_sales_orders: orders and sales of first-time and returning customers per
     day and region. The region goes name -> code -> region."""
     coded = with_country_code(combined_years(sources), "country")
-    keyed = coded.withColumn("region", region_of(F.col("country")))
+    keyed = coded.withColumn("region", region_of("country"))
     ctype = F.col("customer_type")
     return keyed.groupBy("day", "region").agg(*segment_sums(
         {"orders": "orders", "sales": "total_sales"},
@@ -60,7 +60,7 @@ def orders_by_period(sources: Mapping[str, DataFrame],
     src = sources[ORDERS].where(F.col("orders") == 1)
     keyed = src.select(
         _month_of("month").alias("month"),
-        region_of(F.col("billing_country")).alias("region"),
+        region_of("billing_country").alias("region"),
         F.concat(F.col("customer_type"), F.lit(" / "), F.col("purchase_option")).alias("customer_type"),
         "order_id")
     monthly = keyed.groupBy("month", "region", "customer_type").agg(
@@ -96,7 +96,7 @@ def sku_sales_by_period(sources: Mapping[str, DataFrame],
         F.col("product").alias("product_title"), "product_price",
         F.col("ordered_items").alias("ordered_item_quantity"),
         "gross_sales", "discounts", "net_sales",
-        region_of(F.col("billing_country")).alias("region"))
+        region_of("billing_country").alias("region"))
     keys = ["variant_sku", "product_title", "customer_type", "product_price", "region"]
     rolled = period_rollup(rows, "month", periods, keys, [
         F.count_distinct("order_id").alias("orders"),

@@ -39,8 +39,8 @@ def q_region_map(spark, sf_dir):
     coded = with_country_code(years, "country", out="country_code")
     return coded.groupBy(
         "country", "country_code",
-        region_of(F.col("country_code")).alias("region_via_code"),
-        region_of(F.col("country")).alias("region_via_name"),
+        region_of("country_code").alias("region_via_code"),
+        region_of("country").alias("region_via_name"),
     ).agg(F.count(F.lit(1)).alias("n_rows"))
 
 

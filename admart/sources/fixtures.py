@@ -73,18 +73,17 @@ CAL_START = dt.date(2024, 1, 1)
 CAL_DAYS = 180
 SHOP_URL = "https://shop.example/"
 
-DRIVER_TABLES = ("events", "lineitem", "orders", "part")
-
-
-def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in DRIVER_TABLES}
+# ---------------------------------------------------------------- column helpers
 
+def sql_str(v: str | None) -> str:
+    """SQL string literal (NULL for None)."""
+    return "NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-# ---------------------------------------------------------------- column helpers
 
 def pick(pool: list, idx: Column) -> Column:
-    """0-based pick from a fixed pool; the pool is a literal array, so this stays in codegen."""
-    arr = F.array(*[F.lit(v).cast("string") for v in pool])
+    """0-based pick from a fixed pool; the pool is one literal array (built from SQL text in a
+    single call), so this stays in codegen."""
+    arr = F.expr("CAST(array(" + ", ".join(sql_str(v) for v in pool) + ") AS array<string>)")
     return F.element_at(arr, (idx + 1).cast("int"))
 
 
@@ -393,22 +392,33 @@ def shopify_orders_new_return(orders: DataFrame) -> DataFrame:
             .unionByName(rows(ok % 30 == 0, _shop_month(ok, ck, 1), base_type, sales)))
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Logical source name -> DataFrame derived from the driver's tables (lazy, no action)."""
-    t = driver_tables(spark, sf_dir)
-    return {
-        "source_ga4_daily_country_marketing_channel": ga4_channel(t["events"]),
-        "source_ga4_demographic_country_report": ga4_demographic(t["events"]),
-        "source_daily_google_ads_keywords": google_keyword(t["lineitem"]),
-        "source_hourly_google_ads_campaigns": google_campaign(t["orders"]),
-        "source_daily_google_ads_ad_group_with_more_stats": google_adstats(t["lineitem"]),
-        "source_daily_google_ads_ad_group": google_ad_group(t["lineitem"]),
-        "source_daily_google_ads_ad": google_ad(t["part"]),
-        "source_daily_meta_ads": meta_insights(t["events"]),
-        "source_daily_new_return_sales_orders_2024_shopify": shopify_daily_2024(t["orders"]),
-        "source_daily_new_return_sales_orders_2023_shopify": shopify_daily_2023(t["orders"]),
+def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":
+    """Logical source name -> DataFrame derived from the driver's tables.
+
+    Sources are built on first access only, so a query pays for the sources it reads.
+    """
+    from admart.sources.registry import LazySources
+
+    tables: dict[str, DataFrame] = {}
+
+    def t(name: str) -> DataFrame:
+        if name not in tables:
+            tables[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return tables[name]
+
+    return LazySources({
+        "source_ga4_daily_country_marketing_channel": lambda: ga4_channel(t("events")),
+        "source_ga4_demographic_country_report": lambda: ga4_demographic(t("events")),
+        "source_daily_google_ads_keywords": lambda: google_keyword(t("lineitem")),
+        "source_hourly_google_ads_campaigns": lambda: google_campaign(t("orders")),
+        "source_daily_google_ads_ad_group_with_more_stats": lambda: google_adstats(t("lineitem")),
+        "source_daily_google_ads_ad_group": lambda: google_ad_group(t("lineitem")),
+        "source_daily_google_ads_ad": lambda: google_ad(t("part")),
+        "source_daily_meta_ads": lambda: meta_insights(t("events")),
+        "source_daily_new_return_sales_orders_2024_shopify": lambda: shopify_daily_2024(t("orders")),
+        "source_daily_new_return_sales_orders_2023_shopify": lambda: shopify_daily_2023(t("orders")),
         "source_shopify_daily_sales_orders_users_by_country":
-            shopify_order_lines(t["lineitem"], t["orders"], t["part"]),
+            lambda: shopify_order_lines(t("lineitem"), t("orders"), t("part")),
         "source_shopify_monthly_sales_orders_new_return_per_order":
-            shopify_orders_new_return(t["orders"]),
-    }
+            lambda: shopify_orders_new_return(t("orders")),
+    })

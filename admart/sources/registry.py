@@ -45,10 +45,11 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 def warehouse_sources(spark: SparkSession, cfg: Config,
                       reader: Callable[[SparkSession, str], DataFrame] | None = None
-                      ) -> dict[str, DataFrame]:
+                      ) -> "LazySources":
     """Lazily bind every declared source to its physical table (catalog table by default)."""
     read = reader or (lambda s, table: s.table(table))
-    return {name: conform(read(spark, physical_name(name, cfg)), name) for name in SCHEMAS}
+    return LazySources({name: (lambda n=name: conform(read(spark, physical_name(n, cfg)), n))
+                        for name in SCHEMAS})
 
 
 def parquet_reader(root: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -73,3 +74,22 @@ class Sources(Mapping):
 
     def __len__(self) -> int:
         return len(self._frames)
+
+
+class LazySources(Sources):
+    """Sources built on first access (and then reused), from name -> zero-argument factory."""
+
+    def __init__(self, factories: Mapping[str, Callable[[], DataFrame]]):
+        super().__init__({})
+        self._factories = dict(factories)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._factories[name]()
+        return self._frames[name]
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
