@@ -17,16 +17,27 @@ def json_array(c: Column, schema: str = ACTION_SCHEMA) -> Column:
     return F.when(c.rlike(r"^\s*\["), F.from_json(c, schema))
 
 
-def json_metric_max(c: Column, action_type: str, dtype: str = "bigint") -> Column:
-    """Largest ``value`` among entries of ``action_type``; NULL when there is none."""
-    entries = F.filter(json_array(c), lambda e: e["action_type"] == F.lit(action_type))
+def array_metric_max(arr: Column, action_type: str, dtype: str = "bigint") -> Column:
+    """Largest ``value`` among parsed entries of ``action_type``; NULL when there is none."""
+    entries = F.filter(arr, lambda e: e["action_type"] == F.lit(action_type))
     return F.array_max(F.transform(entries, lambda e: e["value"].try_cast(dtype)))
 
 
-def json_metric_sum(c: Column, field: str = "value", dtype: str = "bigint") -> Column:
-    """Sum of ``field`` over all entries; NULL when the array is NULL, empty or all-NULL."""
-    schema = f"array<struct<{field}:string>>"
-    values = F.filter(F.transform(json_array(c, schema), lambda e: e[field].try_cast(dtype)),
-                      lambda v: v.isNotNull())
+def array_metric_sum(arr: Column, field: str = "value", dtype: str = "bigint") -> Column:
+    """Sum of ``field`` over parsed entries; NULL when the array is NULL, empty or all-NULL."""
+    values = F.filter(F.transform(arr, lambda e: e[field].try_cast(dtype)), lambda v: v.isNotNull())
     total = F.aggregate(values, F.lit(0).cast(dtype), lambda acc, v: acc + v)
     return F.when(F.size(values) > 0, total)
+
+
+def json_metric_max(c: Column, action_type: str, dtype: str = "bigint") -> Column:
+    """Largest ``value`` among entries of ``action_type`` in JSON text; NULL when there is none.
+
+    To read several metrics from one column, parse it once with ``json_array`` into a column
+    and use ``array_metric_max`` on that column (the parse is the expensive part)."""
+    return array_metric_max(json_array(c), action_type, dtype)
+
+
+def json_metric_sum(c: Column, field: str = "value", dtype: str = "bigint") -> Column:
+    """Sum of ``field`` over all entries of JSON text; NULL when NULL, empty or all-NULL."""
+    return array_metric_sum(json_array(c, f"array<struct<{field}:string>>"), field, dtype)

@@ -66,3 +66,19 @@ def ordered_concat(c: Column | str, sep: str = ", ") -> Column:
     c = F.col(c) if isinstance(c, str) else c
     values = F.array_sort(F.collect_list(c))
     return F.when(F.size(values) > 0, F.array_join(values, sep))
+
+
+def distinct_count_and_sums(df: DataFrame, keys: Sequence[str], distinct_col: str, count_name: str,
+                            sums: Mapping[str, str]) -> DataFrame:
+    """``count(DISTINCT distinct_col)`` plus ``sum(c)`` per output, grouped by ``keys``.
+
+    Two plain aggregates instead of Spark's Expand-based distinct rewrite: first per
+    (keys, distinct value) with partial sums, then per keys counting the non-NULL distinct values.
+    The first level is keyed by the distinct value too, so a hot key spreads over many tasks.
+    """
+    keys = list(keys)
+    first = df.groupBy(*keys, distinct_col).agg(
+        *[F.sum(src).alias(f"__s_{out}") for out, src in sums.items()])
+    return first.groupBy(*keys).agg(
+        F.count(distinct_col).alias(count_name),
+        *[F.sum(f"__s_{out}").alias(out) for out in sums])

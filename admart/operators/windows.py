@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from admart.session import cut_lineage
+
 
 def dedupe_top1(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep one row per ``keys``: the first by ``order`` descending, NULLs last.
@@ -47,7 +49,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 
 def rank_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                accuracy: int = 100_000) -> DataFrame:
+                accuracy: int = 100_000, materialize: bool = True) -> DataFrame:
     """Per group, the average of the values at ranks ``median_ranks(n)`` in ascending order.
 
     This is not ``percentile(0.5)``: for odd n it averages the middle and the next value. Exact,
@@ -57,10 +59,15 @@ def rank_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "medi
          to its full value range);
       3. only values inside the bracket are pre-counted per distinct value and ranked.
     NULL values are ignored; NULL keys form their own group.
+
+    The three passes read the (keys, value) projection; with ``materialize`` it is written once
+    to the checkpoint folder (reliable, lineage cut) instead of recomputing ``df`` three times.
     """
     keys = list(keys)
     v = F.col(value)
     vals = df.select(*keys, v.cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    if materialize:
+        vals = cut_lineage(vals)
     d = 2.0 / accuracy
     stats = vals.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"),

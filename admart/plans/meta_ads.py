@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from admart.config import Config, MetaSegments
 from admart.functions.dates import month_start
 from admart.functions.geo import region_of
-from admart.functions.json_metrics import json_metric_max, json_metric_sum
+from admart.functions.json_metrics import array_metric_max, array_metric_sum, json_array
+
+VALUE_SCHEMA = "array<struct<value:string>>"
 from admart.functions.rules import first_match, like_any
 from admart.functions.text import regexp_extract_or_null
 from admart.operators.aggregates import segment_sums
@@ -31,22 +33,36 @@ def ad_name_updated(sources: Mapping[str, DataFrame]) -> DataFrame:
     return src.select(free_shipping_note(F.col("ad_name")).alias("free_shipping_note"), *src.columns)
 
 
+JSON_COLUMNS = ("actions", "action_values", "video_p75_watched_actions", "video_15_sec_watched_actions")
+
+
 def extract_metrics(ads: DataFrame) -> DataFrame:
-    """Flatten the JSON-array action columns into scalar metrics."""
-    return ads.select(
+    """Flatten the JSON-array action columns into scalar metrics.
+
+    Each JSON column is parsed once in its own projection (Catalyst keeps a non-cheap expression
+    that is read several times in its own Project), then the metrics are read from the arrays.
+    """
+    parsed = ads.select(
+        *[c for c in ads.columns if c not in JSON_COLUMNS],
+        json_array(F.col("actions")).alias("__actions"),
+        json_array(F.col("action_values")).alias("__values"),
+        json_array(F.col("video_p75_watched_actions"), VALUE_SCHEMA).alias("__p75"),
+        json_array(F.col("video_15_sec_watched_actions"), VALUE_SCHEMA).alias("__s15"),
+    )
+    actions = F.col("__actions")
+    return parsed.select(
         F.col("date_start").alias("ad_run_date"),
         "free_shipping_note", "campaign_name", "adset_name", "ad_name", "reach", "spend",
         "impressions", "clicks", "unique_clicks",
-        json_metric_max(F.col("actions"), "onsite_web_purchase").alias("onsite_web_purchases"),
-        json_metric_max(F.col("action_values"), "onsite_web_app_purchase", "double")
+        array_metric_max(actions, "onsite_web_purchase").alias("onsite_web_purchases"),
+        array_metric_max(F.col("__values"), "onsite_web_app_purchase", "double")
         .alias("onsite_web_app_purchase_sum_usd"),
-        json_metric_max(F.col("actions"), "landing_page_view").alias("landing_page_views"),
-        json_metric_max(F.col("actions"), "onsite_web_app_add_to_cart")
-        .alias("onsite_web_app_add_to_cart_count"),
+        array_metric_max(actions, "landing_page_view").alias("landing_page_views"),
+        array_metric_max(actions, "onsite_web_app_add_to_cart").alias("onsite_web_app_add_to_cart_count"),
         "quality_ranking", "inline_post_engagement", "unique_link_clicks_ctr",
         "unique_inline_link_clicks", "created_time", "updated_time",
-        json_metric_sum(F.col("video_p75_watched_actions")).alias("video_p75_watched_actions_count"),
-        json_metric_sum(F.col("video_15_sec_watched_actions")).alias("video_15_sec_watched_count"),
+        array_metric_sum(F.col("__p75")).alias("video_p75_watched_actions_count"),
+        array_metric_sum(F.col("__s15")).alias("video_15_sec_watched_count"),
         "campaign_id", "adset_id", "ad_id", "frequency", "cpc", "cpm", "cpp", "ctr",
         "account_currency", "optimization_goal",
     )

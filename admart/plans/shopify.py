@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from admart.config import DEFAULT_PERIODS, Period
 from admart.functions.geo import region_of, with_country_code
 from admart.operators.aggregates import segment_sums
-from admart.operators.periods import period_rollup
+from admart.operators.aggregates import distinct_count_and_sums
+from admart.operators.periods import period_labels, period_rollup
 from admart.operators.sets import union_years
 from admart.operators.windows import dedupe_top1
 
@@ -97,16 +98,12 @@ def sku_sales_by_period(sources: Mapping[str, DataFrame],
         F.col("ordered_items").alias("ordered_item_quantity"),
         "gross_sales", "discounts", "net_sales",
         region_of("billing_country").alias("region"))
-    keys = ["variant_sku", "product_title", "customer_type", "product_price", "region"]
-    rolled = period_rollup(rows, "month", periods, keys, [
-        F.count_distinct("order_id").alias("orders"),
-        F.round(F.sum("ordered_item_quantity")).cast("double").alias("ordered_item_quantity"),
-        F.round(F.sum("gross_sales")).cast("double").alias("gross_sales"),
-        F.round(F.sum("discounts")).cast("double").alias("discounts"),
-        F.round(F.sum("net_sales")).cast("double").alias("net_sales"),
-    ])
-    return rolled.where(F.col("period").isNotNull() & F.col("variant_sku").isNotNull()).select(
+    keys = ["period", "variant_sku", "product_title", "customer_type", "product_price", "region"]
+    money = ["ordered_item_quantity", "gross_sales", "discounts", "net_sales"]
+    exploded = rows.withColumn("period", F.explode(period_labels("month", periods)))
+    rolled = distinct_count_and_sums(exploded, keys, "order_id", "orders", {m: m for m in money})
+    rounded = rolled.where(F.col("period").isNotNull() & F.col("variant_sku").isNotNull()).select(
         "period", "variant_sku", "product_title", "customer_type",
         F.col("product_price").cast("double").alias("product_price"), "orders",
-        "ordered_item_quantity", "gross_sales", "discounts", "net_sales", "region",
-        F.round(F.col("net_sales") / F.col("orders"), 2).alias("aov"))
+        *[F.round(F.col(m)).cast("double").alias(m) for m in money], "region")
+    return rounded.withColumn("aov", F.round(F.col("net_sales") / F.col("orders"), 2))

@@ -392,6 +392,19 @@ def shopify_orders_new_return(orders: DataFrame) -> DataFrame:
             .unionByName(rows(ok % 30 == 0, _shop_month(ok, ck, 1), base_type, sales)))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the session has cores.
+
+    Parquet splits only at row-group boundaries; the driver's tables are single row-group files,
+    so their per-row work (adapters, JSON parsing, rule chains) would run in one task. Large
+    multi-row-group inputs already have enough splits and are returned unchanged (no shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":
     """Logical source name -> DataFrame derived from the driver's tables.
 
@@ -403,7 +416,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":
 
     def t(name: str) -> DataFrame:
         if name not in tables:
-            tables[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            tables[name] = spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
         return tables[name]
 
     return LazySources({
