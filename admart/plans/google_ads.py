@@ -363,15 +363,23 @@ def campaign_types() -> dict[str, Column]:
     return {t: F.col("campaign_type") == t for t in ("brand", "generic", "pmax")}
 
 
+def cents_exact(c: str) -> Column:
+    """A value rounded to 2 decimals, as an exact decimal: its sums no longer depend on the order
+    rows are added in (float sums do), so the mart is reproducible under any partitioning."""
+    return F.col(c).cast("decimal(38,2)")
+
+
 def gads_daily(gads: DataFrame) -> DataFrame:
-    """Google part of the all-ads mart: totals and 3 campaign types x 5 metrics per (date, region)."""
-    grid = segment_sums({"conversions": "conversions", "clicks": "clicks", "impressions": "impressions",
-                         "spend": "spend", "sales": "metrics_conversions_value"},
+    """Google part of the all-ads mart: totals and 3 campaign types x 5 metrics per (date, region).
+    Money and conversions were rounded to cents per fact row and are summed exactly."""
+    spend, conv, value = cents_exact("spend"), cents_exact("conversions"), cents_exact("metrics_conversions_value")
+    grid = segment_sums({"conversions": conv, "clicks": "clicks", "impressions": "impressions",
+                         "spend": spend, "sales": value},
                         campaign_types(), name="gads_{metric}_{segment}")
     return gads.groupBy(F.col("ad_run_date").alias("date"), "region").agg(
         F.sum("impressions").alias("gads_impressions"),
         F.sum("clicks").alias("gads_clicks"),
-        F.sum("spend").alias("gads_spend"),
-        F.sum("conversions").alias("gads_conversions"),
-        F.sum("metrics_conversions_value").alias("gads_sales"),
+        F.sum(spend).alias("gads_spend"),
+        F.sum(conv).alias("gads_conversions"),
+        F.sum(value).alias("gads_sales"),
         *grid)
