@@ -395,9 +395,12 @@ def shopify_orders_new_return(orders: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the session has cores.
 
-    Parquet splits only at row-group boundaries; the driver's tables are single row-group files,
-    so their per-row work (adapters, JSON parsing, rule chains) would run in one task. Large
+    Parquet splits only at row-group boundaries; the driver's tables are single row-group files.
+    Where a scan feeds a long narrow pipeline (broadcast joins, projections, explode) before its
+    first shuffle, all of that would run in one task; the order lines are such a case. Large
     multi-row-group inputs already have enough splits and are returned unchanged (no shuffle).
+    Scans followed directly by an aggregate or a shuffled join are not spread: the shuffle
+    parallelises the rest and an extra one would only add cost.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
@@ -414,10 +417,12 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":
 
     tables: dict[str, DataFrame] = {}
 
-    def t(name: str) -> DataFrame:
-        if name not in tables:
-            tables[name] = spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-        return tables[name]
+    def t(name: str, spread_out: bool = False) -> DataFrame:
+        key = f"{name}/spread" if spread_out else name
+        if key not in tables:
+            df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            tables[key] = spread(df) if spread_out else df
+        return tables[key]
 
     return LazySources({
         "source_ga4_daily_country_marketing_channel": lambda: ga4_channel(t("events")),
@@ -431,7 +436,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":
         "source_daily_new_return_sales_orders_2024_shopify": lambda: shopify_daily_2024(t("orders")),
         "source_daily_new_return_sales_orders_2023_shopify": lambda: shopify_daily_2023(t("orders")),
         "source_shopify_daily_sales_orders_users_by_country":
-            lambda: shopify_order_lines(t("lineitem"), t("orders"), t("part")),
+            lambda: shopify_order_lines(t("lineitem", spread_out=True), t("orders"), t("part")),
         "source_shopify_monthly_sales_orders_new_return_per_order":
             lambda: shopify_orders_new_return(t("orders")),
     })
