@@ -18,6 +18,7 @@ from admart.functions.rules import first_match, like_any
 from admart.functions.text import regexp_extract_or_null
 from admart.operators.aggregates import segment_sums
 from admart.operators.windows import clamp_outliers, rank_median
+from admart.session import cut_lineage
 
 SOURCE = "source_daily_meta_ads"
 
@@ -154,21 +155,36 @@ def aov_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("aov", aov).withColumn("month_start_date", month_start("ad_run_date"))
 
 
-def aov_medians(rows: DataFrame) -> DataFrame:
+def aov_medians(rows: DataFrame, materialize: bool = True) -> DataFrame:
     """Rank-median AOV per (region, month) over rows with purchases and purchase value."""
     valid = rows.where(F.col("onsite_web_app_purchase_sum_usd").isNotNull()
                        & F.col("onsite_web_purchases").isNotNull()
                        & (F.col("onsite_web_purchases") != 0))
-    return rank_median(valid, ["region", "month_start_date"], "aov", out="aov_reion_month_median")
+    return rank_median(valid, ["region", "month_start_date"], "aov", out="aov_reion_month_median",
+                       materialize=materialize)
 
 
-def daily_meta_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None) -> DataFrame:
+def daily_meta_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None,
+                   columns: list[str] | None = None, materialize: bool = True) -> DataFrame:
     """daily_meta_ads: one row per ad-day with flags, country, region, category and the revenue
-    recomputed from the outlier-corrected AOV (purchases x corrected AOV)."""
+    recomputed from the outlier-corrected AOV (purchases x corrected AOV).
+
+    The enriched rows feed both the region-month medians and the clamp join, so with
+    ``materialize`` they are written once (parquet, shared checkpoint folder) and both read that
+    copy instead of parsing the JSON columns again. ``columns`` keeps only what a consumer needs
+    (plus the AOV inputs) in that copy.
+    """
     cfg = cfg or Config()
     base = with_country_category(with_segments(extract_metrics(ad_name_updated(sources)), cfg.meta))
     rows = aov_rows(base)
-    corrected = clamp_outliers(rows, aov_medians(rows), ["region", "month_start_date"], "aov",
+    if columns is not None:
+        keep = list(dict.fromkeys([*columns, "region", "month_start_date", "aov", "onsite_web_purchases",
+                                   "onsite_web_app_purchase_sum_usd"]))
+        rows = rows.select(*keep)
+    if materialize:
+        rows = cut_lineage(rows)
+    medians = aov_medians(rows, materialize=not materialize)
+    corrected = clamp_outliers(rows, medians, ["region", "month_start_date"], "aov",
                                "aov_reion_month_median", "aov_corrected", cfg.aov_outlier_factor)
     revenue = F.col("onsite_web_purchases") * F.col("aov_corrected")
     return (corrected.withColumn("onsite_web_app_purchase_sum_usd", revenue)
@@ -185,6 +201,10 @@ def segments() -> dict[str, Column]:
     }
 
 
+ROLLUP_COLUMNS = ["ad_run_date", "impressions", "landing_page_views", "unique_inline_link_clicks", "spend",
+                  "is_retargeting", "is_prospecting", "is_experiment", "is_reach_and_frequency"]
+
+
 def meta_daily(meta: DataFrame) -> DataFrame:
     """Meta part of the all-ads mart: totals and 4 segments x 6 metrics per (date, region)."""
     seg = segment_sums({

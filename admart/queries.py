@@ -121,14 +121,15 @@ def q_rank_median(spark, sf_dir):
 
 def q_meta_aov_corrected(spark, sf_dir):
     """Corrected AOV and revenue per ad-day."""
-    meta = meta_ads.daily_meta_ads(_src(spark, sf_dir), CFG)
+    meta = meta_ads.daily_meta_ads(_src(spark, sf_dir), CFG, columns=["ad_id", "ad_run_date"])
     return meta.select("ad_id", "ad_run_date", "region", "month_start_date", "aov",
                        "aov_reion_month_median", "aov_corrected", "onsite_web_purchases",
                        "onsite_web_app_purchase_sum_usd", "ads_platform", "channel")
 
 
 def q_meta_daily_rollup(spark, sf_dir):
-    return decimals_to_double(meta_ads.meta_daily(meta_ads.daily_meta_ads(_src(spark, sf_dir), CFG)))
+    meta = meta_ads.daily_meta_ads(_src(spark, sf_dir), CFG, columns=meta_ads.ROLLUP_COLUMNS)
+    return decimals_to_double(meta_ads.meta_daily(meta))
 
 
 def q_keyword_brand(spark, sf_dir):
