@@ -59,7 +59,7 @@ def feeds(sources: Mapping[str, DataFrame], cfg: Config) -> list[DataFrame]:
         ga4.daily_rollup(ga4.channel_revenue(sources), cfg.meta_revenue_uplift),
         shopify.shopify_daily(shopify.new_returning_daily(sources)),
         meta_ads.meta_daily(meta_ads.daily_meta_ads(sources, cfg, columns=meta_ads.ROLLUP_COLUMNS)),
-        google_ads.gads_daily(google_ads.daily_google_ads(sources, cfg)),
+        google_ads.gads_daily(google_ads.daily_by_campaign(sources, cfg)),
     ]
 
 

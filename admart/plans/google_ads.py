@@ -331,6 +331,16 @@ def campaign_type(name: Column) -> Column:
     return first_match([(n.like("%brand%"), "brand"), (n.like("%pmax%"), "pmax")], default="generic")
 
 
+def daily_by_campaign(sources: Mapping[str, DataFrame], cfg: Config | None = None) -> DataFrame:
+    """The merged daily fact with the campaign dimension and campaign type only: what the all-ads
+    roll-up reads. The keyword and ad-group lookups of the full fact are left joins on keys unique
+    in those dimensions, so leaving them out changes no row and no column used here (Catalyst
+    drops them too, but they would still be built)."""
+    cfg = cfg or Config()
+    facts = lookup(daily_grains(sources), campaigns(sources, cfg.as_of), ["campaign_id"])
+    return facts.withColumn("campaign_type", campaign_type(F.col("campaign_name")))
+
+
 def daily_google_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None) -> DataFrame:
     """daily_google_ads: the merged daily fact with keyword, campaign and ad-group dimensions,
     ads category, channel and campaign type. Dimension joins are left lookups; AQE broadcasts a

@@ -173,7 +173,7 @@ def q_daily_google_ads(spark, sf_dir):
 
 def q_gads_daily_rollup(spark, sf_dir):
     """B32, X10."""
-    return decimals_to_double(google_ads.gads_daily(google_ads.daily_google_ads(_src(spark, sf_dir), CFG)))
+    return decimals_to_double(google_ads.gads_daily(google_ads.daily_by_campaign(_src(spark, sf_dir), CFG)))
 
 
 def q_all_ads_daily(spark, sf_dir):

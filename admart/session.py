@@ -50,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store): "
+                           "a machine-local scratch folder is not visible to other executors")
     path = tempfile.mkdtemp(prefix="admart-ckpt-", dir=os.environ.get("ADMART_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return path
