@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,14 +64,20 @@ def feeds(sources: Mapping[str, DataFrame], cfg: Config) -> list[DataFrame]:
     ]
 
 
-def all_ads_daily(sources: Mapping[str, DataFrame], cfg: Config | None = None) -> DataFrame:
+def all_ads_daily(sources: Mapping[str, DataFrame], cfg: Config | None = None,
+                  merge: str = "union") -> DataFrame:
     """all_ads_daily_performance: one row per (date, region) with 70 zero-filled measures.
 
     The four feeds are unioned and aggregated once (equal to the full-outer-join chain followed by
     the group-by; the NULL region of unmatched Google campaigns folds into one row per date).
+    ``merge="join"`` builds the literal chain of full outer joins instead (for comparison).
     """
     cfg = cfg or Config()
-    merged = channel_merge(feeds(sources, cfg), KEYS)
+    parts = feeds(sources, cfg)
+    if merge == "join":
+        merged = reduce(lambda a, b: a.join(b, KEYS, "full"), parts)
+    else:
+        merged = channel_merge(parts, KEYS)
     out = merged.groupBy(*KEYS).agg(*zero_fill_sum(ALL_ADS_MEASURES))
     return decimals_to_double(out.select(
         "date", F.trunc(F.col("date"), "MM").alias("month"), "region", *ALL_ADS_MEASURES))

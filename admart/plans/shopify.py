@@ -54,7 +54,7 @@ def _month_of(text_col: str) -> F.Column:
 
 
 def orders_by_period(sources: Mapping[str, DataFrame],
-                     periods: Sequence[Period] = DEFAULT_PERIODS) -> DataFrame:
+                     periods: Sequence[Period] = DEFAULT_PERIODS, one_pass: bool = True) -> DataFrame:
     """shopify_monthly_orders_per_region_per_customer_type: distinct orders per month, region and
     customer type, plus each named period as the sum of its monthly counts (an order seen in two
     months counts twice there)."""
@@ -66,11 +66,31 @@ def orders_by_period(sources: Mapping[str, DataFrame],
         "order_id")
     monthly = keyed.groupBy("month", "region", "customer_type").agg(
         F.count_distinct("order_id").alias("orders"))
+    if not one_pass:
+        return period_union(monthly, "month", periods, ["region", "customer_type"],
+                            [F.sum("orders").alias("orders")],
+                            monthly.select(F.col("month").cast("string").alias("period"),
+                                           "region", "customer_type", "orders"))
     return period_rollup(monthly, "month", periods, ["region", "customer_type"],
                          [F.sum("orders").alias("orders")]).select(
         "period", "region", "customer_type", "orders")
 
 
+def period_union(df: DataFrame, month: str, periods: Sequence[Period], keys: list[str],
+                 aggs: list, month_rows: DataFrame) -> DataFrame:
+    """The literal form of a period roll-up: one filtered aggregate per named period, unioned with
+    the per-month rows (one scan of ``df`` per branch). Used to measure the one-pass form."""
+    parts = [df.where(F.col(month).between(F.lit(p.first_month), F.lit(p.last_month)))
+             .groupBy(*keys).agg(*aggs).select(F.lit(p.label).alias("period"), *keys,
+                                               *[a for a in month_rows.columns if a not in keys
+                                                 and a != "period"])
+             for p in periods]
+    out = month_rows
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
 def dedupe_orders(sources: Mapping[str, DataFrame]) -> DataFrame:
     """One row per (month, billing country, order, customer type): the one with the highest
     total sales (ties: the other columns, descending)."""
@@ -79,7 +99,7 @@ def dedupe_orders(sources: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def sku_sales_by_period(sources: Mapping[str, DataFrame],
-                        periods: Sequence[Period] = DEFAULT_PERIODS) -> DataFrame:
+                        periods: Sequence[Period] = DEFAULT_PERIODS, one_pass: bool = True) -> DataFrame:
     """shopify_sales_per_order_per_period_aov_analysis: per period, SKU, product, price, customer
     type and region - distinct orders, rounded quantities and money, and AOV.
 
@@ -100,8 +120,13 @@ def sku_sales_by_period(sources: Mapping[str, DataFrame],
         region_of("billing_country").alias("region"))
     keys = ["period", "variant_sku", "product_title", "customer_type", "product_price", "region"]
     money = ["ordered_item_quantity", "gross_sales", "discounts", "net_sales"]
-    exploded = rows.withColumn("period", F.explode(period_labels("month", periods)))
-    rolled = distinct_count_and_sums(exploded, keys, "order_id", "orders", {m: m for m in money})
+    if one_pass:
+        exploded = rows.withColumn("period", F.explode(period_labels("month", periods)))
+        rolled = distinct_count_and_sums(exploded, keys, "order_id", "orders", {m: m for m in money})
+    else:
+        aggs = [F.count_distinct("order_id").alias("orders"), *[F.sum(m).alias(m) for m in money]]
+        month_rows = rows.groupBy(F.col("month").cast("string").alias("period"), *keys[1:]).agg(*aggs)
+        rolled = period_union(rows, "month", periods, keys[1:], aggs, month_rows)
     rounded = rolled.where(F.col("period").isNotNull() & F.col("variant_sku").isNotNull()).select(
         "period", "variant_sku", "product_title", "customer_type",
         F.col("product_price").cast("double").alias("product_price"), "orders",
