@@ -292,16 +292,23 @@ def _daily(src: DataFrame, keys: list[Column], video: bool = False) -> DataFrame
     return src.groupBy(*keys).agg(*aggs)
 
 
-def daily_grains(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Keyword, ad-group and campaign daily numbers merged: the finest grain that has a value wins,
-    per metric. Campaign days without ad groups become campaign-only rows."""
+def keyword_ad_group_days(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Keyword days merged with ad-group days (a keyword value wins, per metric); ad-group days
+    without keywords become rows with a NULL keyword."""
     date = F.col("segments_date").alias("ad_run_date")
     kw = _daily(sources[KEYWORDS], [F.col("campaign_id"), F.col("ad_group_id"),
                                     F.col("ad_group_criterion_keyword_text").alias("keyword"), date])
     ag = _daily(sources[AD_GROUP_STATS], [F.col("campaign_id"), F.col("ad_group_id"), date])
+    return backfill(kw, ag, ["ad_run_date", "ad_group_id", "campaign_id"], METRICS).select(
+        "campaign_id", "ad_group_id", "keyword", "ad_run_date", *METRICS)
+
+
+def daily_grains(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Keyword, ad-group and campaign daily numbers merged: the finest grain that has a value wins,
+    per metric. Campaign days without ad groups become campaign-only rows."""
+    date = F.col("segments_date").alias("ad_run_date")
     camp = _daily(sources[CAMPAIGNS], [F.col("campaign_id"), date], video=True).drop("video_views")
-    kw_ag = backfill(kw, ag, ["ad_run_date", "ad_group_id", "campaign_id"], METRICS)
-    merged = backfill(kw_ag, camp, ["ad_run_date", "campaign_id"], METRICS)
+    merged = backfill(keyword_ad_group_days(sources), camp, ["ad_run_date", "campaign_id"], METRICS)
     return merged.select("campaign_id", "ad_group_id", "keyword", "ad_run_date", *METRICS)
 
 

@@ -127,6 +127,11 @@ def q_meta_aov_corrected(spark, sf_dir):
                        "onsite_web_app_purchase_sum_usd", "ads_platform", "channel")
 
 
+def q_daily_meta_ads(spark, sf_dir):
+    """The full daily Meta view: every column of the model."""
+    return decimals_to_double(meta_ads.daily_meta_ads(_src(spark, sf_dir), CFG))
+
+
 def q_meta_daily_rollup(spark, sf_dir):
     meta = meta_ads.daily_meta_ads(_src(spark, sf_dir), CFG, columns=meta_ads.ROLLUP_COLUMNS)
     return decimals_to_double(meta_ads.meta_daily(meta))
@@ -152,6 +157,16 @@ def q_ad_group_texts(spark, sf_dir):
     return google_ads.ad_texts(google_ads.ad_state(_src(spark, sf_dir)))
 
 
+def q_ad_group_state(spark, sf_dir):
+    """Latest type/name and total / 7-day / 14-day spend per ad group."""
+    return google_ads.ad_group_state(_src(spark, sf_dir), CFG.as_of)
+
+
+def q_ad_group_category(spark, sf_dir):
+    """Category from landing products, back-filled by identical description."""
+    return google_ads.ad_group_categories(google_ads.ad_texts(google_ads.ad_state(_src(spark, sf_dir))))
+
+
 def q_ad_group_dim(spark, sf_dir):
     """A10, B7, B10, B11, B12."""
     return google_ads.ad_group_dim(_src(spark, sf_dir), CFG.as_of)
@@ -162,6 +177,11 @@ def q_grain_backfill(spark, sf_dir):
     return google_ads.daily_grains(_src(spark, sf_dir))
 
 
+def q_grain_backfill_keyword(spark, sf_dir):
+    """J3 first level: keyword days back-filled from ad-group days."""
+    return google_ads.keyword_ad_group_days(_src(spark, sf_dir))
+
+
 def q_daily_google_ads(spark, sf_dir):
     """J4, B18-B21, X2."""
     g = google_ads.daily_google_ads(_src(spark, sf_dir), CFG)
@@ -213,12 +233,16 @@ QUERIES: dict[str, Query] = {
     "meta_segments": q_meta_segments,
     "rank_median": q_rank_median,
     "meta_aov_corrected": q_meta_aov_corrected,
+    "daily_meta_ads": q_daily_meta_ads,
     "meta_daily_rollup": q_meta_daily_rollup,
     "keyword_brand": q_keyword_brand,
     "last_state_ad": q_last_state_ad,
     "campaign_dim": q_campaign_dim,
     "ad_group_texts": q_ad_group_texts,
+    "ad_group_state": q_ad_group_state,
+    "ad_group_category": q_ad_group_category,
     "ad_group_dim": q_ad_group_dim,
+    "grain_backfill_keyword": q_grain_backfill_keyword,
     "grain_backfill": q_grain_backfill,
     "daily_google_ads": q_daily_google_ads,
     "gads_daily_rollup": q_gads_daily_rollup,
