@@ -70,3 +70,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{root}/admart-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run sized from the input volume.
+
+    - Scan splits of 256 MiB keep per-task memory bounded (~400k scan tasks on 100 TB).
+    - Initial shuffle partitions: one per GiB of input, clamped to 2x..20x the cores. Shuffles
+      carry pruned columns after map-side partial aggregation, far less than the raw input, and
+      AQE coalesces partitions below the advisory size and splits skewed ones at run time; a
+      partition count sized from raw bytes would only multiply shuffle blocks (maps x reducers).
+    - Broadcast stays at 64 MiB: only the fixed lookup is forced; every other broadcast is AQE's
+      runtime decision from measured sizes.
+    """
+    partitions = min(max(2 * total_cores, -(-input_bytes // (1 << 30))), 20 * total_cores)
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
