@@ -397,7 +397,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     Parquet splits only at row-group boundaries; the driver's tables are single row-group files.
     Where a scan feeds a long narrow pipeline (broadcast joins, projections, explode) before its
-    first shuffle, all of that would run in one task; the order lines are such a case. Large
+    first shuffle, all of that would run in one task; the order lines (broadcast joins) and the
+    Meta rows (JSON building and parsing up to their materialization) are such cases. Large
     multi-row-group inputs already have enough splits and are returned unchanged (no shuffle).
     Scans followed directly by an aggregate or a shuffled join are not spread: the shuffle
     parallelises the rest and an extra one would only add cost.
@@ -432,7 +433,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":
         "source_daily_google_ads_ad_group_with_more_stats": lambda: google_adstats(t("lineitem")),
         "source_daily_google_ads_ad_group": lambda: google_ad_group(t("lineitem")),
         "source_daily_google_ads_ad": lambda: google_ad(t("part")),
-        "source_daily_meta_ads": lambda: meta_insights(t("events")),
+        "source_daily_meta_ads": lambda: meta_insights(t("events", spread_out=True)),
         "source_daily_new_return_sales_orders_2024_shopify": lambda: shopify_daily_2024(t("orders")),
         "source_daily_new_return_sales_orders_2023_shopify": lambda: shopify_daily_2023(t("orders")),
         "source_shopify_daily_sales_orders_users_by_country":
