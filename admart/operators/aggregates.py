@@ -10,28 +10,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def segment_sums(metrics: Mapping[str, Column | str], segments: Mapping[str, Column],
+def segment_sums(metrics: Mapping[str, Column | str], segments: Mapping[str, Column | str],
                  name: str = "{metric}_{segment}", factor: float | None = None) -> list[Column]:
     """Conditional sums ``sum(if(segment, metric, 0))`` for every (segment x metric) pair.
 
     Returns aggregate Columns to put into one ``agg``: one pass computes the whole grid.
-    A NULL segment flag counts as false; a NULL metric is skipped by ``sum``.
+    A NULL segment flag counts as false; a NULL metric is skipped by ``sum``. Metrics and
+    segments may be given as SQL text (column names or expressions); then each aggregate is
+    built from one SQL expression, which keeps plan construction cheap for wide grids.
     """
     out = []
+    scale = "" if factor is None else f" * {Decimal(repr(factor))}BD"
     for mname, m in metrics.items():
-        m = F.col(m) if isinstance(m, str) else m
         for sname, cond in segments.items():
-            total = F.sum(F.when(cond, m).otherwise(F.lit(0)))
+            alias = name.format(metric=mname, segment=sname)
+            if isinstance(m, str) and isinstance(cond, str):
+                out.append(F.expr(f"sum(CASE WHEN {cond} THEN {m} ELSE 0 END){scale} AS `{alias}`"))
+                continue
+            mc = F.expr(m) if isinstance(m, str) else m
+            cc = F.expr(cond) if isinstance(cond, str) else cond
+            total = F.sum(F.when(cc, mc).otherwise(F.lit(0)))
             if factor is not None:
                 total = total * F.lit(Decimal(repr(factor)))
-            out.append(total.alias(name.format(metric=mname, segment=sname)))
+            out.append(total.alias(alias))
     return out
 
 
 def zero_fill_sum(cols: Mapping[str, str] | Sequence[str]) -> list[Column]:
-    """``coalesce(sum(c), 0)`` for each column (output name -> input column)."""
+    """``coalesce(sum(c), 0)`` for each column (output name -> input column), one SQL expression
+    per output."""
     pairs = cols.items() if isinstance(cols, Mapping) else [(c, c) for c in cols]
-    return [F.coalesce(F.sum(F.col(src)), F.lit(0)).alias(out) for out, src in pairs]
+    return [F.expr(f"coalesce(sum(`{src}`), 0) AS `{out}`") for out, src in pairs]
 
 
 def last_value(value: Column | str, order: Column | str) -> Column:

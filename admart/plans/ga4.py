@@ -87,29 +87,26 @@ def monthly_users(sources: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def channel_groups() -> dict[str, Column]:
-    group = F.col("session_default_channel_group")
-    return {
-        "direct": group == "Direct",
-        "referral": group == "Referral",
-        "organic": F.lower(group).like("%organic%"),
-    }
+CHANNEL_GROUPS = {
+    "direct": "session_default_channel_group = 'Direct'",
+    "referral": "session_default_channel_group = 'Referral'",
+    "organic": "lower(session_default_channel_group) LIKE '%organic%'",
+}
 
 
 def daily_rollup(channel: DataFrame, meta_uplift: float = 1.75) -> DataFrame:
     """GA4 part of the all-ads mart: one row per (date, region) with revenue, orders and sessions,
     split by channel group and ads platform. Days with no revenue or no purchasers are dropped."""
     metrics = {"revenue": "revenue", "orders": "purchasers", "sessions": "sessions"}
-    grid = segment_sums(metrics, channel_groups(), name="ga4_{segment}_{metric}")
-    platform = F.col("ads_platform")
+    grid = segment_sums(metrics, CHANNEL_GROUPS, name="ga4_{segment}_{metric}")
     agg = channel.groupBy("date", "region").agg(
         F.sum("revenue").alias("ga4_sales"),
         F.sum("purchasers").alias("ga4_orders"),
         F.sum("sessions").alias("ga4_sessions"),
         *grid,
-        *segment_sums({"revenue": "revenue"}, {"gads": platform == "Google Ads"},
+        *segment_sums({"revenue": "revenue"}, {"gads": "ads_platform = 'Google Ads'"},
                       name="ga4_{segment}_{metric}"),
-        *segment_sums({"revenue": "revenue"}, {"meta": platform == "Meta Ads"},
+        *segment_sums({"revenue": "revenue"}, {"meta": "ads_platform = 'Meta Ads'"},
                       name="ga4_{segment}_{metric}", factor=meta_uplift),
     )
     return agg.where((F.col("ga4_sales") != 0) & (F.col("ga4_orders") != 0))

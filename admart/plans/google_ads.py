@@ -376,8 +376,7 @@ def daily_google_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None
     )
 
 
-def campaign_types() -> dict[str, Column]:
-    return {t: F.col("campaign_type") == t for t in ("brand", "generic", "pmax")}
+CAMPAIGN_TYPES = {t: f"campaign_type = '{t}'" for t in ("brand", "generic", "pmax")}
 
 
 def cents_exact(c: str) -> Column:
@@ -390,9 +389,10 @@ def gads_daily(gads: DataFrame) -> DataFrame:
     """Google part of the all-ads mart: totals and 3 campaign types x 5 metrics per (date, region).
     Money and conversions were rounded to cents per fact row and are summed exactly."""
     spend, conv, value = cents_exact("spend"), cents_exact("conversions"), cents_exact("metrics_conversions_value")
-    grid = segment_sums({"conversions": conv, "clicks": "clicks", "impressions": "impressions",
-                         "spend": spend, "sales": value},
-                        campaign_types(), name="gads_{metric}_{segment}")
+    exact = "CAST({} AS DECIMAL(38,2))".format
+    grid = segment_sums({"conversions": exact("conversions"), "clicks": "clicks", "impressions": "impressions",
+                         "spend": exact("spend"), "sales": exact("metrics_conversions_value")},
+                        CAMPAIGN_TYPES, name="gads_{metric}_{segment}")
     return gads.groupBy(F.col("ad_run_date").alias("date"), "region").agg(
         F.sum("impressions").alias("gads_impressions"),
         F.sum("clicks").alias("gads_clicks"),

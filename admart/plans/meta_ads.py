@@ -192,13 +192,12 @@ def daily_meta_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None,
                      .withColumn("channel", F.lit("Paid Social")))
 
 
-def segments() -> dict[str, Column]:
-    return {
-        "retargeting": F.col("is_retargeting"),
-        "prospecting": F.col("is_prospecting"),
-        "experiment": F.col("is_experiment"),
-        "rf": F.col("is_reach_and_frequency"),
-    }
+SEGMENTS = {
+    "retargeting": "is_retargeting",
+    "prospecting": "is_prospecting",
+    "experiment": "is_experiment",
+    "rf": "is_reach_and_frequency",
+}
 
 
 ROLLUP_COLUMNS = ["ad_run_date", "impressions", "landing_page_views", "unique_inline_link_clicks", "spend",
@@ -211,7 +210,7 @@ def meta_daily(meta: DataFrame) -> DataFrame:
         "landing_page_views": "landing_page_views", "conversions": "onsite_web_purchases",
         "impressions": "impressions", "clicks": "unique_inline_link_clicks", "spend": "spend",
         "sales": "onsite_web_app_purchase_sum_usd"},
-        segments(), name="meta_{metric}_{segment}")
+        SEGMENTS, name="meta_{metric}_{segment}")
     return meta.groupBy(F.col("ad_run_date").alias("date"), "region").agg(
         F.sum("impressions").alias("meta_impressions"),
         F.sum("landing_page_views").alias("landing_page_views"),

@@ -30,10 +30,9 @@ def new_returning_daily(sources: Mapping[str, DataFrame]) -> DataFrame:
     day and region. The region goes name -> code -> region."""
     coded = with_country_code(combined_years(sources), "country")
     keyed = coded.withColumn("region", region_of("country"))
-    ctype = F.col("customer_type")
     return keyed.groupBy("day", "region").agg(*segment_sums(
         {"orders": "orders", "sales": "total_sales"},
-        {"new": ctype == "First-time", "return": ctype == "Returning"},
+        {"new": "customer_type = 'First-time'", "return": "customer_type = 'Returning'"},
         name="{segment}_{metric}"))
 
 
