@@ -18,7 +18,7 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpoint files of collected DataFrames are removed (they are scratch, not results)
+    # RDD checkpoint files are removed once their RDD is garbage-collected (scratch, not results)
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -44,7 +44,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is left untouched.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the session conf is visible
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return current
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():

@@ -403,10 +403,12 @@ def spread(df: DataFrame) -> DataFrame:
     Scans followed directly by an aggregate or a shuffled join are not spread: the shuffle
     parallelises the rest and an extra one would only add cost.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":

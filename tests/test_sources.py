@@ -52,3 +52,15 @@ def test_warehouse_path_roundtrip(spark, sf_small, tmp_path):
     a = Counter(map(tuple, combined.orders_sessions(wh).collect()))
     b = Counter(map(tuple, combined.orders_sessions(fx).collect()))
     assert a == b and sum(a.values()) > 0
+
+
+def test_cluster_conf_sizing():
+    from admart.session import cluster_conf
+    big = cluster_conf(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == str(102400)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    small = cluster_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    capped = cluster_conf(10 * 2**40, 100)
+    assert capped["spark.sql.shuffle.partitions"] == "2000"
