@@ -7,7 +7,6 @@ from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 NOT_SET = "not_set"
 DEFAULT_REGION = "ROW"
@@ -85,10 +84,6 @@ def country_code_rows() -> tuple[tuple[str, str], ...]:
     return tuple(rows)
 
 
-_LOOKUP_SCHEMA = StructType([StructField("_cc_name", StringType(), False),
-                             StructField("_cc_code", StringType(), False)])
-
-
 def country_code_table(spark: SparkSession,
                        mapping: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
     """The spelling -> code dimension. Its size is fixed (305 rows), so broadcasting it is safe.
@@ -96,7 +91,10 @@ def country_code_table(spark: SparkSession,
     rows = mapping or country_code_rows()
     key = (id(spark), hash(rows))
     if key not in _TABLES:
-        _TABLES[key] = spark.createDataFrame(list(rows), _LOOKUP_SCHEMA)
+        # A VALUES clause is a JVM LocalRelation: broadcast straight from the driver, without the
+        # parallelized Python RDD (and its Python workers) that createDataFrame(list) would make.
+        values = ", ".join(f"({_sql_str(n)}, {_sql_str(c)})" for n, c in rows)
+        _TABLES[key] = spark.sql(f"SELECT * FROM VALUES {values} AS t(_cc_name, _cc_code)")
     return _TABLES[key]
 
 
