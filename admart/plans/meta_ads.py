@@ -98,12 +98,13 @@ BRACKET = r"\[([^\]]+)\]"
 SECOND_BRACKET = r"\[[^\]]+\]\s*\[([^\]]+)\]"
 
 
-def meta_country(adset: Column, ad: Column, campaign: Column) -> Column:
+def meta_country(adset: Column, ad: Column, campaign: Column, bracket: Column | None = None) -> Column:
     """Country from the adset prefix, else the first ad-name bracket, else the campaign prefix.
-    The ``GB`` test is on the raw case, upper-casing comes after."""
+    The ``GB`` test is on the raw case, upper-casing comes after. ``bracket`` may pass the
+    already extracted first bracket code of ``ad``."""
     a_has, a_code = _prefix_code(adset)
     c_has, c_code = _prefix_code(campaign)
-    bracket = regexp_extract_or_null(ad, BRACKET)
+    bracket = regexp_extract_or_null(ad, BRACKET) if bracket is None else bracket
     return F.upper(first_match([
         (a_has & (a_code != "GB"), a_code),
         (a_has & (a_code == "GB"), F.lit("UK")),
@@ -141,12 +142,16 @@ def with_segments(metrics: DataFrame, seg: MetaSegments) -> DataFrame:
 
 
 def with_country_category(df: DataFrame) -> DataFrame:
+    """Country, region and product category. The bracket codes are extracted once, in their own
+    projection, and the rule chains read them (a regex is not re-run per rule arm)."""
     ad, adset, camp = F.col("ad_name"), F.col("adset_name"), F.col("campaign_name")
-    country = meta_country(adset, ad, camp)
-    category = regexp_extract_or_null(ad, SECOND_BRACKET)
-    return (df.withColumn("country", country)
-              .withColumn("region", region_of("country"))
-              .withColumn("product_category", meta_category(category, ad, adset, camp)))
+    helpers = df.select("*", regexp_extract_or_null(ad, BRACKET).alias("__bracket"),
+                        regexp_extract_or_null(ad, SECOND_BRACKET).alias("__category"))
+    country = meta_country(adset, ad, camp, bracket=F.col("__bracket"))
+    with_country = helpers.withColumn("country", country)
+    return (with_country.withColumn("region", region_of("country"))
+            .withColumn("product_category", meta_category(F.col("__category"), ad, adset, camp))
+            .drop("__bracket", "__category"))
 
 
 def aov_rows(df: DataFrame) -> DataFrame:
