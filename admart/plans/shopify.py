@@ -120,8 +120,14 @@ def sku_sales_by_period(sources: Mapping[str, DataFrame],
     keys = ["period", "variant_sku", "product_title", "customer_type", "product_price", "region"]
     money = ["ordered_item_quantity", "gross_sales", "discounts", "net_sales"]
     if one_pass:
-        exploded = rows.withColumn("period", F.explode(period_labels("month", periods)))
+        # Money is summed as exact long cents: the same sums as decimal(18,2), but with fixed-width
+        # aggregation buffers (a decimal(28,2) buffer is a BigDecimal per update).
+        cents = {m: (F.col(m) * 100).cast("long").alias(m) for m in money[1:]}
+        as_cents = rows.select(*[cents.get(c, F.col(c)) for c in rows.columns])
+        exploded = as_cents.withColumn("period", F.explode(period_labels("month", periods)))
         rolled = distinct_count_and_sums(exploded, keys, "order_id", "orders", {m: m for m in money})
+        rolled = rolled.select(*[(F.col(c).cast("decimal(38,0)") / 100).cast("decimal(38,2)").alias(c)
+                                 if c in cents else F.col(c) for c in rolled.columns])
     else:
         aggs = [F.count_distinct("order_id").alias("orders"), *[F.sum(m).alias(m) for m in money]]
         month_rows = rows.groupBy(F.col("month").cast("string").alias("period"), *keys[1:]).agg(*aggs)
