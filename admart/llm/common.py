@@ -18,6 +18,29 @@ WORD_JVM = r"[^\x20\x09-\x0D]+"
 GAP_JVM = r"[\x20\x09-\x0D]+"
 
 
+class Memo(dict):
+    """``make`` by key, for the keys met lately: at most ``2 * limit`` of up to ``chars`` characters.
+
+    Looked up by ``memo[key]`` alone. When ``limit`` keys are new, they become the older half and the
+    half before them goes; what is asked for again moves up, so frequent keys stay.
+    """
+
+    def __init__(self, make: Callable, limit: int, chars: int):
+        super().__init__()
+        self.make, self.limit, self.chars, self.older = make, limit, chars, {}
+
+    def __missing__(self, key: str):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.chars:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def words(text: str | None) -> list[str]:
     """The words of a text, unchanged; none for null."""
     return WORD.findall(text) if text else []
@@ -41,12 +64,12 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a scratch folder only where that is unset and the
-    master is local (tests)."""
+    """The folder named by spark.checkpoint.dir; a scratch folder only where that is unset and
+    everything runs in one JVM (tests)."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
+        if not sc._jsc.sc().isLocal():  # local-cluster is not local
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="admart-shared-")
     if not sc.getCheckpointDir():

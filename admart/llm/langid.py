@@ -17,13 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Memo
+
 
 LETTERS = re.compile(r"[^\W\d_]+")
 EDGE = "\n"
 UNKNOWN = "und"
 #: Bits of a language's phrase count in a text's packed counts.
 SLOT = 40
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 300_000
 MEMO_CHARS = 64
 
 
@@ -85,7 +87,7 @@ class Parser:
         self.langs = sorted(model)
         self.automata = [SuffixAutomaton(model[x]) for x in self.langs]
         self.size = [len(model[x]) for x in self.langs]
-        self.memo: dict[str, int] = {}
+        self.memo = Memo(self._parse, MEMO_ENTRIES, MEMO_CHARS)
 
     def _parse(self, word: str) -> int:
         codes = [10, *map(ord, word), 10]
@@ -95,15 +97,7 @@ class Parser:
         found = LETTERS.findall(text.lower()) if text else []
         if not found or not self.langs:
             return UNKNOWN, 0.0
-        memo, own = self.memo, set(found)
-        new = own.difference(memo)
-        if len(memo) + len(new) > MEMO_ENTRIES:
-            memo.clear()
-            new = own
-        long = {}
-        for w in new:
-            (memo if len(w) <= MEMO_CHARS else long)[w] = self._parse(w)
-        packed = sum([long[w] if w in long else memo[w] for w in found]) if long else sum(map(memo.__getitem__, found))
+        packed = sum(map(self.memo.__getitem__, found))
         length = sum(map(len, found)) + 2 * len(found)
         cost = [(packed >> SLOT * k & (1 << SLOT) - 1) / length for k in range(len(self.langs))]
         order = sorted(range(len(cost)), key=lambda k: (cost[k], -self.size[k], self.langs[k]))

@@ -7,72 +7,98 @@ two. Without a compatible piece the position is marked in a bit field and the pi
 next shorter one. A prefix has one encoding only, so a marked position never works and is not tried again.
 The result is what merging the whole text gives.
 
-Text is cut where a mark follows another character: no piece of the model spans such a place (checked when the
-model is loaded), and each pre-token is encoded once per Python worker while it stays in the memo.
+Text is cut into pre-tokens where no piece of the model can reach across: before a mark that follows another
+character, and between characters that no chain of pieces connects (letters and punctuation, say; the classes
+are read off the model's pieces). Each pre-token is encoded once per Python worker while it stays in the memo.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import doc_columns
+from .common import Memo, doc_columns
 
 MARK = "▁"
-PRETOKEN = re.compile(f"{MARK}+[^{MARK}]*")
-#: Entries of a worker's memo (about 200 bytes each), and of its table of piece pairs; then they start anew.
-MEMO_ENTRIES = 600_000
+#: Half the entries of a worker's memo (about 200 bytes each), and all of its table of piece pairs, which then
+#: starts anew. Results don't depend on them.
+MEMO_ENTRIES = 300_000
 PAIR_ENTRIES = 400_000
 #: Longer pre-tokens are encoded each time.
 MEMO_CHARS = 64
 
-_MODELS: dict[str, object] = {}
+_MODELS: dict[str, "Model"] = {}
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
 
-def load(path: str):
-    """This worker's model of the library; kept from task to task."""
-    if path not in _MODELS:
+class Model:
+    """The library's model and the cut of texts into pre-tokens that goes with it."""
+
+    def __init__(self, path: str):
         os.environ.setdefault("OMP_NUM_THREADS", "1")
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        crossing = [p for p in map(model.id_to_piece, range(model.get_piece_size())) if re.search(f"[^{MARK}]{MARK}", p)]
-        if crossing or "".join(model.encode("  a  b", out_type=str)) != f"{MARK * 3}a{MARK * 2}b":
+        self.library = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.ids = {model.id_to_piece(i): i for i in range(model.get_piece_size())
+                    if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
+        if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids) or "".join(model.encode("  a  b", out_type=str)) != f"{MARK * 3}a{MARK * 2}b":
             raise ValueError(f"{path}: pieces cross pre-tokens, or the model changes spaces")
-        _MODELS[path] = model
-    return _MODELS[path]
+        self.pretoken = re.compile(self._pattern(), re.DOTALL)
 
+    def _pattern(self) -> str:
+        """Spaces, then a run of connected characters or any one character."""
+        up: dict[str, str] = {}
 
-def pretokens(text: str | None) -> list[str]:
-    """The pre-tokens of a text in the model's form; none for null and empty texts."""
-    if not text:
-        return []
-    if "  " in text or text[0] == " " or MARK in text:
-        return PRETOKEN.findall(MARK + text.replace(" ", MARK))
-    return [MARK + x for x in text.split(" ")]
+        def root(c: str) -> str:
+            up.setdefault(c, c)
+            while up[c] != c:
+                c = up[c]
+            return c
+
+        for p in self.ids:
+            inner = p.lstrip(MARK)
+            for a, b in zip(inner, inner[1:]):
+                up[root(a)] = root(b)
+        classes: dict[str, list[str]] = {}
+        for c in up:
+            classes.setdefault(root(c), []).append(c)
+        runs = ["[" + "".join(map(re.escape, sorted(c))) + "]+" for c in sorted(classes.values(), key=len, reverse=True)]
+        return " *(?:" + "|".join([*runs, "[^ ]"]) + ")| +"
+
+    def pretokens(self, text: str | None) -> list[str]:
+        """The pre-tokens of a text, marks shown as spaces, the mark before the text included; none for null
+        and empty texts."""
+        return self.pretoken.findall(" " + text.replace(MARK, " ")) if text else []
+
+
+def load(path: str) -> Model:
+    """This worker's model; kept from task to task."""
+    if path not in _MODELS:
+        _MODELS[path] = Model(path)
+    return _MODELS[path]
 
 
 class PieceEncoder:
     def __init__(self, path: str):
         import ahocorasick
 
-        self.model = model = load(path)
-        size = range(model.get_piece_size())
-        self.ids = {model.id_to_piece(i): i for i in size if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
-        self.score = {p: model.get_score(i) for p, i in self.ids.items()}
-        self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.model = load(path)
+        self.ids = self.model.ids
+        self.score = {p: self.model.library.get_score(i) for p, i in self.ids.items()}
+        self.bytes = [self.model.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self._ids, MEMO_ENTRIES, MEMO_CHARS)
 
     def merged(self, text: str) -> list[str]:
         """Merge the characters of a short text: the best-scored pair first, the leftmost of equals."""
@@ -125,26 +151,17 @@ class PieceEncoder:
 
     def _ids(self, pretoken: str) -> bytes:
         out: list[int] = []
-        for piece in self.split(pretoken):
+        for piece in self.split(pretoken.replace(" ", MARK)):
             found = self.ids.get(piece)
             out.extend([found] if found is not None else [self.bytes[b] for b in piece.encode()])
-        return np.array(out, dtype="<i4").tobytes()
+        packed = array("i", out)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian int32."""
-        cut = pretokens(text)
-        memo = self.memo
-        own = set(cut)
-        new = own.difference(memo)
-        if len(memo) + len(new) > MEMO_ENTRIES:
-            memo.clear()
-            new = own
-        long = {}
-        for x in new:
-            (memo if len(x) <= MEMO_CHARS else long)[x] = self._ids(x)
-        if long:
-            return b"".join([long[x] if x in long else memo[x] for x in cut])
-        return b"".join(map(memo.__getitem__, cut))
+        return b"".join(map(self.memo.__getitem__, self.model.pretokens(text)))
 
 
 def piece_encoder(path: str) -> PieceEncoder:
@@ -169,7 +186,7 @@ def encode_decode(docs: DataFrame, model_path: str, rows: int = 500, id_col: str
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
                 values = np.frombuffer(b"".join(coded), dtype="<i4")
                 flat = values.tolist()
-                decoded = enc.model.decode([flat[a:b] for a, b in zip(ends, ends[1:])], num_threads=1)
+                decoded = enc.model.library.decode([flat[a:b] for a, b in zip(ends, ends[1:])], num_threads=1)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[low:low + rows], pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(values)),
                     pa.array(decoded, type=pa.string())], schema=schema)

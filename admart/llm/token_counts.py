@@ -1,7 +1,7 @@
 """Token counts without materialising ids: pieces are counted once per distinct pre-token.
 
-A pre-token is a run of spaces (shown as U+2581) and the text up to the next one. No piece of the model
-has that mark after another character, so pieces never cross pre-tokens and their counts add up.
+A pre-token is a run of spaces and the connected characters after it (see pieces.Model): no piece of the model
+reaches across two of them, so their counts add up.
 
 1. Every input partition counts its pre-tokens; Spark sums these to corpus frequencies.
 2. The library encodes each distinct pre-token once, and only the number of pieces is kept.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_columns, materialize
 
-from .pieces import MARK, load, pretokens
+from .pieces import load
 
 #: Frequencies are told apart by a factor of about 1.09 when the most frequent pre-tokens are chosen.
 STEPS = 8
@@ -39,6 +39,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, dictionary
 
     def count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        pretokens = load(model_path).pretokens
         for batch in batches:
             for text in batch.column(0):
                 seen.update(pretokens(text.as_py()))
@@ -50,14 +51,15 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, dictionary
 
     def count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
-        alone = 1 if model.piece_to_id(MARK) != model.unk_id() else len(MARK.encode())  # the library leaves "" empty
+        if any("\n" in p for p in model.ids):
+            raise ValueError(f"{model_path}: a piece holds a line feed, which is to part pre-tokens from the library's mark")
+        before = len(model.library.encode("\n"))  # the mark and the line feed: no piece reaches across it
         for batch in batches:
             for low in range(0, batch.num_rows, 5000):
                 some = batch.slice(low, 5000)
-                texts = [x[1:] for x in some.column(0).to_pylist()]  # the library puts the first mark back
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array([len(x) if t else alone for t, x in zip(texts, model.encode(texts, num_threads=1))], type=pa.int32())],
-                    names=["pretoken", "freq", "pieces"])
+                made = model.library.encode(["\n" + t for t in some.column(0).to_pylist()], num_threads=1)
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([len(m) - before for m in made], type=pa.int32())],
+                                                 names=["pretoken", "freq", "pieces"])
 
     freq = (base.select("text").mapInArrow(count_partition, "pretoken string, freq long")
             .groupBy("pretoken").agg(F.sum("freq").alias("freq")))
@@ -75,7 +77,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, dictionary
     known = spark.sparkContext.broadcast(dict(zip(top["pretoken"].tolist(), top["pieces"].tolist())))
 
     def count_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = known.value
+        pieces, pretokens = known.value, load(model_path).pretokens
         for batch in batches:
             rows, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for low in range(0, batch.num_rows, 500):
