@@ -1,9 +1,11 @@
-"""Token ids of a ``tokenizers`` file, each distinct word encoded once per Python worker.
-
-The library's own result is reproduced exactly: a text is cut only at single ASCII spaces between
-two characters that are no white space, where neither a pre-token nor a special token of the
-supported files can reach across, and the library encodes each piece that is not yet in the memo.
-Files of any other make are encoded whole, text by text.
+"""Token ids of a ``tokenizers`` file, each pre-token encoded once per Python worker while it stays in the memo.
+
+The library's own result is reproduced exactly. For two makes of byte-level BPE files, whose pre-tokenizers
+are fixed regular expressions, Latin-1 text is cut into the same pre-tokens by the same expression with its
+Unicode classes written out for Latin-1, and the library's model merges each. Other text of these files is cut
+at single ASCII spaces between two characters that are no white space, where neither a pre-token nor a special
+token can reach across; what is not Latin-1 there, and all text of files of any other make, goes through the
+library as it is.
 """
 
 from __future__ import annotations
@@ -11,47 +13,55 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
 from tokenizers.pre_tokenizers import ByteLevel
 
+from .common import Memo
+
 #: Python's white space holds all that the tokenizers' own patterns take as white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: White space other than the space and the line feed; a text with any is cut by CUT itself.
-ODD = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Letters that NFC leaves alone and that have one lower-case form, then punctuation: for such a piece the
-#: pre-tokens are plain, and the library's model is asked directly.
-PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,:;!?]*)")
-#: Entries of a worker's memo (about 200 bytes each); beyond this it starts anew. Results don't depend on it.
-MEMO_ENTRIES = 600_000
-#: Longer pieces are encoded each time.
+# The Latin-1 members of the classes L and N and of white space, and the two pre-token patterns.
+L = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+N = "0-9²³¹¼-¾"
+S = "\t-\r \u0085 "
+SPACED = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+")
+DROPPED = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^{S}{L}{N}]+")
+DROPPED_SPEC = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Half the entries of a worker's memo (about 200 bytes each). Results don't depend on it.
+MEMO_ENTRIES = 300_000
+#: Longer pre-tokens are encoded each time.
 MEMO_CHARS = 64
 
 _ENCODERS: dict[tuple, "WordMemo"] = {}
 
 
-def cuts_at_spaces(spec: dict) -> bool:
-    """Whether no token of this tokenizer reaches across a single space between two non-spaces."""
+def latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def lexer(spec: dict) -> re.Pattern | None:
+    """The pre-token pattern of a file of a known make, for Latin-1 text without special tokens."""
     for token in spec.get("added_tokens") or []:
         if " " in token["content"] or token["lstrip"] or token["rstrip"] or token["single_word"]:
-            return False
+            return None
     norm, pre = spec.get("normalizer"), spec.get("pre_tokenizer") or {}
-    if norm is None and pre.get("type") == "ByteLevel":  # a space begins the next pre-token
-        return pre.get("use_regex", True) and not pre.get("add_prefix_space")
-    if norm and pre.get("type") == "Sequence":  # white space is dropped, words end with a suffix
-        kinds = [x["type"] for x in norm.get("normalizers", [])]
-        parts = pre["pretokenizers"]
-        return (kinds == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in parts] == ["Split", "ByteLevel"]
-                and parts[0]["behavior"] == "Removed" and parts[0]["invert"]
-                and not parts[1]["add_prefix_space"] and not parts[1]["use_regex"])
-    return False
-
-
-def pieces(text: str) -> list[str]:
-    """The text cut at each single space between two characters that are no white space."""
-    if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or ODD.search(text):
-        return CUT.split(text)
-    return text.split(" ")
+    if spec["model"]["type"] != "BPE" or spec["model"].get("continuing_subword_prefix"):
+        return None
+    if norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space"):
+        return SPACED
+    if norm and norm["type"] == "Sequence" and pre.get("type") == "Sequence":
+        split, *rest = pre["pretokenizers"]
+        if ([x["type"] for x in norm["normalizers"]] == ["NFC", "Replace", "Lowercase"] and split["type"] == "Split"
+                and split["pattern"] == {"Regex": DROPPED_SPEC} and split["behavior"] == "Removed" and split["invert"]
+                and [x["type"] for x in rest] == ["ByteLevel"] and not rest[0]["add_prefix_space"] and not rest[0]["use_regex"]):
+            return DROPPED
+    return None
 
 
 class WordMemo:
@@ -62,61 +72,45 @@ class WordMemo:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.cuts = cuts_at_spaces(spec)
-        self.dtype = np.dtype(f"<u{width}")
+        self.model = self.tokenizer.model
+        self.code = {1: "B", 2: "H", 4: "I"}[width]
         if self.tokenizer.get_vocab_size() > 256 ** width:
             raise ValueError(f"ids of {path} don't fit {width} bytes")
-        self.memo: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.model = self.tokenizer.model
-        self.lower = spec.get("normalizer") is not None
-        latin = [chr(c) for c in range(0x21, 0x100) if PLAIN.match(chr(c)) or chr(c) in ".,:;!?"]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.lexer = lexer(spec)
+        self.lower = self.lexer is DROPPED
+        self.special = [t["content"] for t in spec.get("added_tokens") or []]
         shown = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.shown = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in latin}  # the model's spelling of bytes
-        self.space = "" if self.lower else shown.pre_tokenize_str(" ")[0][0]
+        self.shown = {c: shown.pre_tokenize_str(chr(c))[0][0] for c in range(256)}  # the model's spelling of bytes
+        self.memo = Memo(self._pretoken, MEMO_ENTRIES, MEMO_CHARS)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-
-    def _model(self, pretoken: str) -> bytes:
-        return np.array([x.id for x in self.model.tokenize(pretoken)], dtype=self.dtype).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a piece and the space before it."""
-        plain = PLAIN.fullmatch(piece)
-        if not plain:
-            return self._whole(" " + piece)
-        letters, marks = plain.groups()
-        ids = self._model(self.space + (letters.lower() if self.lower else letters).translate(self.shown))
-        if marks:
-            if marks not in self.parts:
-                if len(self.parts) > 10_000:
-                    self.parts.clear()
-                self.parts[marks] = self._model(marks)
-            ids += self.parts[marks]
-        return ids
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _pretoken(self, pretoken: str) -> bytes:
+        return self._bytes([x.id for x in self.model.tokenize(pretoken.translate(self.shown))])
+
+    def _latin(self, text: str) -> bytes:
+        return b"".join(map(self.memo.__getitem__, self.lexer.findall(text.lower() if self.lower else text)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.cuts:
+        if self.lexer is None:
             return self._whole(text)
-        rest = pieces(text)
-        first = self._whole(rest.pop(0))
-        memo = self.memo
-        own = set(rest)
-        new = own.difference(memo)
-        if len(memo) + len(new) > MEMO_ENTRIES:
-            memo.clear()
-            new = own
-        long = {}
-        for x in new:
-            (memo if len(x) <= MEMO_CHARS else long)[x] = self._piece(x)
-        if long:
-            return first + b"".join([long[x] if x in long else memo[x] for x in rest])
-        return first + b"".join(map(memo.__getitem__, rest))
+        special = [s for s in self.special if s in text]
+        if not special and latin(text):
+            return self._latin(text)
+        first, *rest = CUT.split(text)
+        return b"".join([self._latin(p) if latin(p) and not any(s in p for s in special) else self._whole(p)
+                         for p in (first, *(" " + x for x in rest))])
 
 
 def id_width(path: str) -> int:
