@@ -5,7 +5,6 @@ Layout:
   functions/  Column-level helpers (rule chains, text/JSON, dates, country/region lookups)
   operators/  DataFrame-level operators (segment sums, last state, back-fill, medians, periods)
   plans/      the data models: GA4, Google Ads, Meta Ads, Shopify and the combined marts
-  streaming/  empty: every model is a full-refresh batch job
 """
 
 from admart.config import Config

@@ -14,11 +14,6 @@ def month_start(c: Column | str) -> Column:
     return F.trunc(c, "MM")
 
 
-def from_micros(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c / F.lit(1_000_000)
-
-
 def in_trailing_days(date_col: Column | str, as_of: dt.date, days: int) -> Column:
     """``date >= as_of - days`` (inclusive lower bound, no upper bound)."""
     date_col = F.col(date_col) if isinstance(date_col, str) else date_col

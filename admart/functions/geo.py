@@ -84,32 +84,31 @@ def country_code_rows() -> tuple[tuple[str, str], ...]:
     return tuple(rows)
 
 
+#: Largest lookup that is broadcast by hint; the bundled one has 305 rows.
+BROADCAST_ROWS = 10_000
+
+
 def country_code_table(spark: SparkSession,
                        mapping: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
-    """The spelling -> code dimension. Its size is fixed (305 rows), so broadcasting it is safe.
-    Built once per session and mapping (a local relation shipped with the plan)."""
+    """The spelling -> code dimension, a local relation shipped with the plan. Up to
+    ``BROADCAST_ROWS`` rows it carries a broadcast hint; a larger ``mapping`` is left to Spark."""
     rows = mapping or country_code_rows()
-    key = (id(spark), hash(rows))
-    if key not in _TABLES:
-        # A VALUES clause is a JVM LocalRelation: broadcast straight from the driver, without the
-        # parallelized Python RDD (and its Python workers) that createDataFrame(list) would make.
-        values = ", ".join(f"({_sql_str(n)}, {_sql_str(c)})" for n, c in rows)
-        _TABLES[key] = spark.sql(f"SELECT * FROM VALUES {values} AS t(_cc_name, _cc_code)")
-    return _TABLES[key]
-
-
-_TABLES: dict[tuple[int, int], DataFrame] = {}
+    # A VALUES clause is a JVM LocalRelation: broadcast straight from the driver, without the
+    # parallelized Python RDD (and its Python workers) that createDataFrame(list) would make.
+    values = ", ".join(f"({_sql_str(n)}, {_sql_str(c)})" for n, c in rows)
+    table = spark.sql(f"SELECT * FROM VALUES {values} AS t(_cc_name, _cc_code)")
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 
 def with_country_code(df: DataFrame, col: str, out: str | None = None,
                       mapping: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
     """Add (or replace) ``out`` with the code of ``col``; unknown or NULL -> ``'not_set'``.
 
-    A broadcast hash join against the fixed lookup: O(1) per row, no shuffle of ``df``, and the
+    A broadcast hash join against the bundled lookup: O(1) per row, no shuffle of ``df``, and the
     spellings are unique so rows never multiply.
     """
     out = out or col
-    lookup = F.broadcast(country_code_table(df.sparkSession, mapping))
+    lookup = country_code_table(df.sparkSession, mapping)
     joined = df.join(lookup, F.col(col) == F.col("_cc_name"), "left")
     code = F.coalesce(F.col("_cc_code"), F.lit(NOT_SET))
     return joined.withColumn(out, code).drop("_cc_name", "_cc_code")

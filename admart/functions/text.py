@@ -12,19 +12,19 @@ def regexp_extract_or_null(c: Column, pattern: str, idx: int = 1) -> Column:
 
 
 def trim_ws(c: Column) -> Column:
-    """Trim all leading/trailing white space (Spark's ``trim`` removes spaces only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Trim all leading/trailing white space, in Unicode's sense (Spark's ``trim`` removes spaces only)."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def json_string(c: Column) -> Column:
-    """JSON text of a string or array value; NULL becomes the text ``null``."""
+    """JSON text of an array value; NULL becomes the text ``null``."""
     return F.coalesce(F.to_json(c), F.lit("null"))
 
 
 def json_quote(c: Column) -> Column:
-    """JSON text of a scalar string: quoted and escaped; NULL becomes the text ``null``."""
-    escaped = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', r'\\"')
-    return F.coalesce(F.concat(F.lit('"'), escaped, F.lit('"')), F.lit("null"))
+    """JSON text of a scalar string, as Spark's JSON writer escapes it; NULL becomes the text ``null``."""
+    listed = F.to_json(F.array(c), {"ignoreNullFields": "false"})
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
 def strip_quotes(c: Column) -> Column:

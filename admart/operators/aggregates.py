@@ -1,5 +1,6 @@
-"""Aggregate operators. All are single hash aggregates with map-side partial aggregation, so a hot
-group is pre-reduced in every task before the shuffle."""
+"""Aggregate operators. All combine map-side, so a hot group is pre-reduced in every task before the
+shuffle. Sums, counts and numeric minima and maxima are hash aggregates; the maximum of a string or
+a struct is a sort aggregate, so it only runs on rows that a hash aggregate has made few."""
 
 from __future__ import annotations
 
@@ -46,18 +47,35 @@ def zero_fill_sum(cols: Mapping[str, str] | Sequence[str]) -> list[Column]:
 def last_value(value: Column | str, order: Column | str) -> Column:
     """Value on the row with the greatest ``order`` (ties: greatest value, so it is deterministic).
 
-    ``max(struct(order, value)).value`` - a plain max, so it partially aggregates and codegens.
+    The max of a struct is a sort aggregate; use it on rows that a hash aggregate made few, as
+    ``last_state`` does, not on a source.
     """
     value = F.col(value) if isinstance(value, str) else value
     order = F.col(order) if isinstance(order, str) else order
     return F.max(F.struct(order.alias("o"), value.alias("v")))["v"]
 
 
-def last_state(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], order: str,
-               extra: Sequence[Column] = ()) -> DataFrame:
-    """Latest state per entity: for each output name -> input column, its last value by ``order``."""
-    aggs = [last_value(src, order).alias(out) for out, src in cols.items()]
-    return df.groupBy(*keys).agg(*aggs, *extra)
+def last_state(df: DataFrame, keys: Mapping[str, str] | Sequence[str], cols: Mapping[str, str | Column],
+               order: str, greatest: Mapping[str, str | Column] | None = None,
+               first: Mapping[str, Column] | None = None, then: Mapping[str, Column] | None = None) -> DataFrame:
+    """Latest state per entity, in two steps.
+
+    First a hash aggregate per (entity, attribute values) keeps the greatest ``order``: the source is
+    combined map-side, never sorted, and its rows shrink to the different states of each entity.
+    Then, per entity, each output of ``cols`` is its last value by ``order`` and each of ``greatest``
+    its greatest value. ``first`` names further aggregates for the first step (sums, minima) and
+    ``then`` how the second step folds them; ``__last`` is the greatest ``order`` there.
+    """
+    keys = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
+    column = lambda c: F.col(c) if isinstance(c, str) else c
+    states = {**cols, **(greatest or {})}
+    per_state = df.groupBy(*[F.col(src).alias(k) for k, src in keys.items()],
+                           *[column(c).alias(f"__a_{out}") for out, c in states.items()]).agg(
+        F.max(order).alias("__last"), *[c.alias(n) for n, c in (first or {}).items()])
+    return per_state.groupBy(*keys).agg(
+        *[F.max(f"__a_{out}").alias(out) if out in (greatest or {}) else last_value(f"__a_{out}", "__last").alias(out)
+          for out in states],
+        *[c.alias(n) for n, c in (then or {}).items()])
 
 
 def distinct_concat(c: Column | str, sep: str = ",") -> Column:

@@ -13,20 +13,15 @@ def backfill(fine: DataFrame, coarse: DataFrame, keys: Sequence[str],
              metrics: Sequence[str]) -> DataFrame:
     """``fine FULL OUTER JOIN coarse USING (keys)`` with ``coalesce(fine.m, coarse.m)`` per metric.
 
-    ``coarse`` must be unique on ``keys`` (it is an aggregate by them). Under that condition the
-    full join equals: every fine row, left-joined to its coarse row, plus the coarse rows that no
-    fine row matches. Both halves are skew-friendly (a left join can be split or broadcast by AQE;
-    the anti join only ships the fine side's distinct keys), unlike a full outer join. NULL keys
-    never match, as in SQL.
+    Each side is read once. Both are daily aggregates, ``coarse`` unique on ``keys``, so a key holds
+    at most the fine rows of one entity and day; no key grows with the number of source rows. NULL
+    keys never match, as in SQL.
     """
     keys = list(keys)
     renamed = coarse.select(*keys, *[F.col(m).alias(f"__c_{m}") for m in metrics])
     fine_rest = [c for c in fine.columns if c not in keys and c not in metrics]
-    matched = fine.join(renamed, keys, "left").select(
+    return fine.join(renamed, keys, "full").select(
         *keys, *fine_rest, *[F.coalesce(F.col(m), F.col(f"__c_{m}")).alias(m) for m in metrics])
-    fine_keys = fine.select(*keys).distinct()
-    unmatched = coarse.join(fine_keys, keys, "left_anti").select(*keys, *metrics)
-    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def merge_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,7 +1,6 @@
 """Ranking operators: top-1 dedupe, rank-based median, outlier clamp.
 
-None of them sorts a whole group in one task: the dedupe is a max-aggregate, and the median
-only ranks the few values around the middle of each group.
+No operator here sorts a whole source or a whole group in one task.
 """
 
 from __future__ import annotations
@@ -11,23 +10,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from admart.session import cut_lineage
 
-
-def dedupe_top1(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def dedupe_top1(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                partition_by: Sequence[str] | None = None) -> DataFrame:
     """Keep one row per ``keys``: the first by ``order`` descending, NULLs last.
 
     Ties on ``order`` are broken by the remaining columns (descending), so the pick is
-    deterministic. Computed as ``max(struct(not_null, order..., rest...))``: a partial
-    aggregate, so a key with millions of copies is reduced map-side before the shuffle.
+    deterministic. Repeated rows collapse first, in a hash aggregate with map-side combine, so a
+    key with millions of copies ships a few rows per task; only different rows reach the
+    ``max(struct(...))`` (a sort aggregate). ``partition_by``, a subset of ``keys``, lays the
+    different rows out so that a later join on it needs no further shuffle.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c not in order]
     parts = []
     for c in [*order, *rest]:
         parts += [F.col(c).isNotNull().alias(f"__nn_{c}"), F.col(c).alias(c)]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*parts)).alias("__best"))
-    return best.select(*keys, *[F.col("__best")[c].alias(c) for c in order + rest]).select(*df.columns)
+    # The count keeps Spark from dropping this aggregate below a max, for which it looks redundant.
+    different = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies")).where("__copies > 0").drop("__copies")
+    if partition_by is not None:
+        different = different.repartition(*partition_by)
+    best = different.groupBy(*keys).agg(F.max(F.struct(*parts)).alias("__best"))
+    return best.select(*keys, *[F.col("__best")[c].alias(c) for c in [*order, *rest]]).select(*df.columns)
 
 
 def median_ranks(n: Column) -> tuple[Column, Column]:
@@ -39,71 +43,55 @@ def median_ranks(n: Column) -> tuple[Column, Column]:
     return upper, lower
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` where NULL matches NULL (both sides may derive from one plan)."""
-    tmp = [f"__rk{i}" for i in range(len(keys))]
-    renamed = right.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)],
-                           *[c for c in right.columns if c not in keys])
-    cond = [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, tmp)]
-    return left.join(renamed, cond, "inner").drop(*tmp)
+def value_bucket(v: Column) -> Column:
+    """A bucket number that never falls as ``v`` rises: 64 buckets for each power of two, mirrored
+    for negative values."""
+    size = F.floor(F.log2(F.abs(v)) * 64) + F.lit(1 << 20)
+    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("long")
 
 
-def rank_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                accuracy: int = 100_000, materialize: bool = True) -> DataFrame:
+def rank_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
     """Per group, the average of the values at ranks ``median_ranks(n)`` in ascending order.
 
     This is not ``percentile(0.5)``: for odd n it averages the middle and the next value. Exact,
-    and distributed even when one group holds most rows:
-      1. one aggregate gives n and an approximate bracket [lo, hi] around the middle rank;
-      2. exact counts check that the bracket holds the needed ranks (else the group falls back
-         to its full value range);
-      3. only values inside the bracket are pre-counted per distinct value and ranked.
-    NULL values are ignored; NULL keys form their own group.
-
-    The three passes read the (keys, value) projection; with ``materialize`` it is written once
-    to the checkpoint folder (reliable, lineage cut) instead of recomputing ``df`` three times.
+    and spread out even when one group holds most rows:
+      1. one hash aggregate counts each (group, value): rows leave the scan pre-aggregated;
+      2. counts per value bucket, added up in bucket order, say which bucket holds which rank;
+      3. the values of those buckets alone are ranked.
+    The counts of step 1 are one shuffle that steps 2 and 3 share. NULL values are ignored; NULL
+    keys form their own group.
     """
     keys = list(keys)
-    v = F.col(value)
-    vals = df.select(*keys, v.cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    if materialize:
-        vals = cut_lineage(vals)
-    d = 2.0 / accuracy
-    stats = vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("__q"))
-    r1, r2 = median_ranks(F.col("__n"))
-    stats = stats.select(*keys, "__n", r1.alias("__r1"), r2.alias("__r2"),
-                         F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi"))
-
-    tagged = _null_safe_join(vals, stats, keys)
-    counts = tagged.groupBy(*keys).agg(
-        F.sum(F.when(F.col("__v") < F.col("__lo"), 1).otherwise(0)).alias("__below"),
-        F.sum(F.when(F.col("__v") <= F.col("__hi"), 1).otherwise(0)).alias("__upto"))
-    top = F.least(F.col("__r1"), F.col("__n"))
-    ok = (F.col("__below") < F.col("__r2")) & (F.col("__upto") >= top)
-    bounds = _null_safe_join(stats, counts, keys).select(
-        *keys, "__n", "__r1", "__r2",
-        F.when(ok, F.col("__lo")).alias("__lo"), F.when(ok, F.col("__hi")).alias("__hi"),
-        F.when(ok, F.col("__below")).otherwise(0).alias("__offset"))
-
-    inside = _null_safe_join(vals, bounds, keys).where(
-        F.col("__lo").isNull() | F.col("__v").between(F.col("__lo"), F.col("__hi")))
-    distinct_vals = inside.groupBy(*keys, "__v", "__n", "__r1", "__r2", "__offset").agg(
+    v = F.col(value).cast("double")
+    counts = df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull()).groupBy(*keys, "__v").agg(
         F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = F.sum("__c").over(w) + F.col("__offset")
-    ranked = distinct_vals.withColumn("__cum", cum).withColumn("__prev", F.col("__cum") - F.col("__c"))
-
-    def holds(r: Column) -> Column:
-        return (F.col("__prev") < r) & (r <= F.col("__cum"))
-
-    hits = (F.when(holds(F.col("__r2")), 1).otherwise(0)
-            + F.when((F.col("__r1") != F.col("__r2")) & (F.col("__r1") <= F.col("__n"))
-                     & holds(F.col("__r1")), 1).otherwise(0))
+    counts = counts.withColumn("__b", value_bucket(F.col("__v")))
+    per_bucket = counts.groupBy(*keys, "__b").agg(F.sum("__c").alias("__c"))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    placed = per_bucket.select(*keys, "__b", F.sum("__c").over(group).alias("__n"),
+                               (F.sum("__c").over(upto) - F.col("__c")).alias("__before"),
+                               F.sum("__c").over(upto).alias("__upto"))
+    r1, r2 = median_ranks(F.col("__n"))
+    r1 = F.least(r1, F.col("__n"))
+    placed = placed.withColumns({"__r1": r1, "__r2": r2})
+    wanted = placed.where(((F.col("__before") < F.col("__r1")) & (F.col("__r1") <= F.col("__upto")))
+                          | ((F.col("__before") < F.col("__r2")) & (F.col("__r2") <= F.col("__upto"))))
+    names = {k: f"__k{i}" for i, k in enumerate([*keys, "__b"])}
+    wanted = wanted.select(*[F.col(k).alias(n) for k, n in names.items()], "__before", "__r1", "__r2")
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    inside = counts.join(wanted, same).drop(*names.values())
+    order = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("__before") + F.sum("__c").over(order)
+    ranked = inside.withColumn("__last", last).withColumn("__first", F.col("__last") - F.col("__c"))
+
+    def holds(r: str) -> Column:
+        return (F.col("__first") < F.col(r)) & (F.col(r) <= F.col("__last"))
+
+    hits = (F.when(holds("__r2"), 1).otherwise(0)
+            + F.when((F.col("__r1") != F.col("__r2")) & holds("__r1"), 1).otherwise(0))
     picked = ranked.withColumn("__hits", hits).where(F.col("__hits") > 0)
-    return picked.groupBy(*keys).agg(
-        (F.sum(F.col("__v") * F.col("__hits")) / F.sum("__hits")).alias(out))
+    return picked.groupBy(*keys).agg((F.sum(F.col("__v") * F.col("__hits")) / F.sum("__hits")).alias(out))
 
 
 def clamp_outliers(df: DataFrame, medians: DataFrame, keys: Sequence[str], value: str,
@@ -111,7 +99,9 @@ def clamp_outliers(df: DataFrame, medians: DataFrame, keys: Sequence[str], value
     """Left-join the group median and replace values above ``factor`` x median by the median.
 
     NULL value or NULL median keeps the value. Joined ``USING (keys)``: NULL keys never match.
+    ``medians`` has a row per group and is broadcast: callers pass groups of a bounded number
+    (regions x months), so the rows of ``df`` are never shuffled on a few dozen keys.
     """
-    joined = df.join(medians, list(keys), "left")
+    joined = df.join(F.broadcast(medians), list(keys), "left")
     too_big = F.col(value) > F.lit(factor) * F.col(median)
     return joined.withColumn(out, F.when(too_big, F.col(median)).otherwise(F.col(value)))

@@ -14,6 +14,7 @@ from admart.operators.aggregates import segment_sums
 SOURCE = "source_ga4_daily_country_marketing_channel"
 DEMOGRAPHIC = "source_ga4_demographic_country_report"
 
+# The needles of the traffic rules here and in source_medium().
 META_SOURCES = ("%facebook%", "%fb%", "%meta%")
 
 

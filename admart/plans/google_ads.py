@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from admart.functions.geo import region_of
 from admart.functions.rules import first_match, like_any
 from admart.functions.text import (json_quote, json_string, regexp_extract_or_null, strip_quotes,
                                    trim_ws)
-from admart.operators.aggregates import distinct_concat, last_value, ordered_concat, segment_sums
+from admart.operators.aggregates import distinct_concat, last_state, segment_sums
 from admart.operators.joins import backfill, lookup
 
 KEYWORDS = "source_daily_google_ads_keywords"
@@ -32,51 +32,61 @@ MICROS = 1_000_000
 CAMPAIGN_COUNTRY = r"(?i)(?:\[.*?\]\s*)*([a-z]{2,3})(?:[_-])"
 
 
-def _category_rules(c: Column, mascara: str) -> list[tuple[Column, str]]:
-    """Product category from a campaign name or landing-page products (first match wins)."""
-    return [
-        (c.like("%satin-kajal-liner%"), "SKL"),
-        (like_any(c, "%fragrance-discovery%", "%suite-302%", "%san-ysidro-drive%", "%portofino-97%"),
-         "FRD"),
-        (c.like("%fragrance%"), "FRG"),
-        (like_any(c, "%skin-augustinus-bader%", "%power-serum%"), "SKA"),
-        (like_any(c, "%skin%", "%the-daily-cleansing-protocol%"), "SKN"),
-        (c.like("%mascara%"), mascara),
-        (like_any(c, "%lip%", "%gloss%"), "LIP"),
-        (like_any(c, "%face%", "%reflect-highlighter-stick%", "%contour-stylus%", "%babyblade%"), "FCE"),
-        (like_any(c, "%eye%", "%lid%", "%brightening-waterline-pencil%"), "EYE"),
-    ]
+# Product category from a campaign name or landing-page products (first match wins).
+CATEGORY_RULES: list[tuple[str, tuple[str, ...]]] = [
+    ("SKL", ("%satin-kajal-liner%",)),
+    ("FRD", ("%fragrance-discovery%", "%suite-302%", "%san-ysidro-drive%", "%portofino-97%")),
+    ("FRG", ("%fragrance%",)),
+    ("SKA", ("%skin-augustinus-bader%", "%power-serum%")),
+    ("SKN", ("%skin%", "%the-daily-cleansing-protocol%")),
+    ("MAS", ("%mascara%",)),
+    ("LIP", ("%lip%", "%gloss%")),
+    ("FCE", ("%face%", "%reflect-highlighter-stick%", "%contour-stylus%", "%babyblade%")),
+    ("EYE", ("%eye%", "%lid%", "%brightening-waterline-pencil%")),
+]
 
 
 def campaign_category(name: Column) -> Column:
-    return first_match(_category_rules(name, "Mas"), default="MSC")
+    """Category of a campaign name; here mascara is spelled ``Mas``."""
+    return first_match([(like_any(name, *needles), "Mas" if code == "MAS" else code)
+                        for code, needles in CATEGORY_RULES], default="MSC")
 
 
 def url_category(products: Column) -> Column:
-    return first_match(_category_rules(products, "MAS"))
+    return first_match([(like_any(products, *needles), code) for code, needles in CATEGORY_RULES])
+
+
+def _spends(as_of: dt.date) -> dict[str, Column]:
+    """Micros per state: all time and in the trailing 7 and 14 days."""
+    micros = F.col("metrics_cost_micros")
+    return {"__all": F.sum(micros),
+            **{f"__in_{n}": F.sum(F.when(in_trailing_days(F.col("segments_date"), as_of, n), micros).otherwise(0))
+               for n in (7, 14)}}
+
+
+def _spend_totals(prefix: str) -> dict[str, Column]:
+    return {f"{prefix}_total_spend": F.round(F.sum("__all") / MICROS),
+            **{f"{prefix}_spend_in_last_{n}_days": F.round(F.sum(f"__in_{n}") / MICROS, 2) for n in (7, 14)}}
 
 
 def campaigns(sources: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     """google_ads_campaigns: one row per campaign with its latest name, run dates, spend totals
     (all time, trailing 7 and 14 days up to ``as_of``), country, region and category."""
-    src = sources[CAMPAIGNS]
-    d, micros = F.col("segments_date"), F.col("metrics_cost_micros")
-
-    def trailing(days: int) -> Column:
-        return F.round(F.sum(F.when(in_trailing_days(d, as_of, days), micros).otherwise(0)) / MICROS, 2)
-
-    per_campaign = src.groupBy("campaign_id").agg(
-        F.max("segments_ad_network_type").alias("segments_ad_network_type"),
-        F.max(json_string(F.col("metrics_interaction_event_types"))).alias("metrics_interaction_event_types"),
-        F.max(json_quote(F.col("campaign_advertising_channel_type"))).alias("campaign_advertising_channel_type"),
-        F.max("campaign_payment_mode").alias("campaign_payment_mode"),
-        last_value(F.lower(F.col("campaign_name")), d).alias("campaign_name"),
-        F.min(d).alias("first_run_date"),
-        F.max(d).alias("campaign_last_run_date"),
-        F.round(F.sum(micros) / MICROS).alias("campaign_total_spend"),
-        trailing(7).alias("campaign_spend_in_last_7_days"),
-        trailing(14).alias("campaign_spend_in_last_14_days"),
-    )
+    per_campaign = last_state(
+        sources[CAMPAIGNS], ["campaign_id"],
+        {"campaign_name": F.lower(F.col("campaign_name"))}, "segments_date",
+        greatest={
+            "segments_ad_network_type": "segments_ad_network_type",
+            "metrics_interaction_event_types": json_string(F.col("metrics_interaction_event_types")),
+            "campaign_advertising_channel_type": json_quote(F.col("campaign_advertising_channel_type")),
+            "campaign_payment_mode": "campaign_payment_mode"},
+        first={"__first": F.min("segments_date"), **_spends(as_of)},
+        then={"first_run_date": F.min("__first"), "campaign_last_run_date": F.max("__last"),
+              **_spend_totals("campaign")},
+    ).select("campaign_id", "segments_ad_network_type", "metrics_interaction_event_types",
+             "campaign_advertising_channel_type", "campaign_payment_mode", "campaign_name", "first_run_date",
+             "campaign_last_run_date", "campaign_total_spend", "campaign_spend_in_last_7_days",
+             "campaign_spend_in_last_14_days")
     rest = list(per_campaign.columns)
     with_raw = per_campaign.select(
         F.upper(regexp_extract_or_null(F.col("campaign_name"), CAMPAIGN_COUNTRY)).alias("__country"),
@@ -123,12 +133,8 @@ BRAND_RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Estee Lauder x Victoria Beckham Beauty", (r"(?i)\b(beckham|lauder)\b.*\b(lauder|beckham)\b",)),
     ("Estee Lauder", (r"(?i)\best(?:ée?|ee)\s+lauder\b",)),
     ("Victoria Beckham Beauty", (
-        r"\bvictoria\s*beckham\b|\bv\s*beckham\b|\bvb\b|\bvic\s*beckham\b|\bvictoriabeckham\b"
-        r"|\bvictoria\s*beauty\b|\bbeckham\b",
-        r"\bintimately\s*beckham\b|\bsatin\s*kajal\b|\bbaby\s*blade\b|\blid\s*lustre\b"
-        r"|\bcontour\s*stylus\b|\bsuite\s*302\b|\breflect\s*highlighter\s*stick\b"
-        r"|\bsatin\s*kajal\s*liner\b|\bportofino\s*97\b|\bjump\b|\bsway\b|\bpout\b|\btwist\b"
-        r"|\bpose\b|\bposh\b",
+        r"\bvictoria\s*beckham\b|\bv\s*beckham\b|\bvb\b|\bvic\s*beckham\b|\bvictoriabeckham\b|\bvictoria\s*beauty\b|\bbeckham\b",
+        r"\bintimately\s*beckham\b|\bsatin\s*kajal\b|\bbaby\s*blade\b|\blid\s*lustre\b|\bcontour\s*stylus\b|\bsuite\s*302\b|\breflect\s*highlighter\s*stick\b|\bsatin\s*kajal\s*liner\b|\bportofino\s*97\b|\bjump\b|\bsway\b|\bpout\b|\btwist\b|\bpose\b|\bposh\b",
     )),
 ]
 
@@ -151,28 +157,17 @@ def keyword_brand(keyword: Column) -> Column:
         for t in tests[1:]:
             out = out | t
         return out
-    raw = first_match([(matches(pats), brand) for brand, pats in BRAND_RULES])
-    combo = "Estee Lauder x Victoria Beckham Beauty"
-    return first_match([
-        (raw.like(f"%{combo}%") | (raw.like("%Estee Lauder%") & raw.like("%Victoria Beckham Beauty%")),
-         combo),
-        (raw.like("%Estee Lauder%") & raw.like("%Aerin%"), "Aerin"),
-        (raw.isNull(), "non-brand"),
-    ], default=raw)
+    return first_match([(matches(pats), brand) for brand, pats in BRAND_RULES], default="non-brand")
 
 
 def keywords(sources: Mapping[str, DataFrame]) -> DataFrame:
     """google_ads_keyword: latest criterion attributes per (campaign, ad group, keyword) + brand.
     The regex rules run once per distinct keyword entity, never per fact row."""
-    src = sources[KEYWORDS]
-    d = F.col("segments_date")
-    state = src.groupBy("campaign_id", "ad_group_id",
-                        F.col("ad_group_criterion_keyword_text").alias("keyword")).agg(
-        last_value("ad_group_criterion_type", d).alias("ad_group_criterion_type"),
-        last_value("campaign_bidding_strategy_type", d).alias("campaign_bidding_strategy_type"),
-        last_value("ad_group_criterion_keyword_match_type", d).alias("ad_group_criterion_keyword_match_type"),
-        F.max(d).alias("keyword_last_run_date"),
-    )
+    attributes = ["ad_group_criterion_type", "campaign_bidding_strategy_type", "ad_group_criterion_keyword_match_type"]
+    state = last_state(
+        sources[KEYWORDS],
+        {"campaign_id": "campaign_id", "ad_group_id": "ad_group_id", "keyword": "ad_group_criterion_keyword_text"},
+        {c: c for c in attributes}, "segments_date", then={"keyword_last_run_date": F.max("__last")})
     return state.select(keyword_brand(F.col("keyword")).alias("brand_name"), *state.columns)
 
 
@@ -191,10 +186,8 @@ AD_STATE_COLS = {
 
 def ad_state(sources: Mapping[str, DataFrame]) -> DataFrame:
     """intermediate_google_ads_ad_with_last_state: latest attributes per (ad group, ad)."""
-    src = sources[ADS]
-    d = F.col("segments_date")
-    return src.groupBy("ad_group_id", F.col("ad_group_ad_ad_id").alias("ad_id")).agg(
-        *[last_value(srccol, d).alias(out) for out, srccol in AD_STATE_COLS.items()])
+    return last_state(sources[ADS], {"ad_group_id": "ad_group_id", "ad_id": "ad_group_ad_ad_id"},
+                      AD_STATE_COLS, "segments_date")
 
 
 # Landing-page product slug and ad-text piece patterns.
@@ -231,45 +224,46 @@ def ad_texts(ads: DataFrame) -> DataFrame:
     return per_group.select(pieces.alias("ad_descriptions"), *per_group.columns)
 
 
-def ad_group_categories(texts: DataFrame) -> DataFrame:
+def ad_group_categories(texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Category per ad group from its landing products; an ad group without products borrows
-    the products of all ad groups with the identical description text (NULL never matches)."""
+    those of all ad groups with the identical description text (NULL never matches).
+
+    Borrowed products only matter through the rules, so a description carries one flag per rule
+    (does any of its groups match?), never a list; no needle could match across two products.
+    """
+    products = F.col("products_by_comma")
+    flags = {f"__r{i}": like_any(products, *needles) for i, (_, needles) in enumerate(CATEGORY_RULES)}
     combined = texts.select(
-        "ad_group_id",
+        "ad_group_id", *keep,
         trim_ws(F.col("product")).alias("products_by_comma"),
         trim_ws(F.col("ad_descriptions")).alias("description_combined"))
-    by_description = combined.groupBy("description_combined").agg(
-        ordered_concat("products_by_comma", ", ").alias("group_id_products_by_comma"))
-    adjusted = combined.join(by_description, ["description_combined"], "left").select(
-        "ad_group_id",
-        F.coalesce(F.col("products_by_comma"), F.col("group_id_products_by_comma")).alias("products_by_comma"))
-    return adjusted.select(
-        url_category(F.col("products_by_comma")).alias("category_from_destination_url_or_description"),
-        "ad_group_id")
+    by_description = combined.where(F.col("description_combined").isNotNull() & products.isNotNull()).groupBy(
+        F.col("description_combined").alias("__description")).agg(*[F.max(c).alias(n) for n, c in flags.items()])
+    # Only groups without products ask; the others are judged by their own.
+    needy = F.when(products.isNull(), F.col("description_combined"))
+    joined = combined.withColumn("__needy", needy).join(by_description, F.col("__needy") == F.col("__description"), "left")
+    borrowed = first_match([(F.col(n), code) for n, (code, _) in zip(flags, CATEGORY_RULES)])
+    return joined.select(
+        F.when(products.isNotNull(), url_category(products)).otherwise(borrowed)
+        .alias("category_from_destination_url_or_description"),
+        "ad_group_id", *keep)
 
 
 def ad_group_state(sources: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     """Latest type and name (lexicographic max) and total / 7-day / 14-day spend per ad group."""
-    src = sources[AD_GROUPS]
-    d, micros = F.col("segments_date"), F.col("metrics_cost_micros")
-
-    def trailing(days: int) -> Column:
-        return F.round(F.sum(F.when(in_trailing_days(d, as_of, days), micros).otherwise(0)) / MICROS, 2)
-
-    return src.groupBy("ad_group_id").agg(
-        F.max("ad_group_type").alias("ad_group_type"),
-        F.max("ad_group_name").alias("ad_group_name"),
-        F.round(F.sum(micros) / MICROS).alias("ad_group_total_spend"),
-        trailing(7).alias("ad_group_spend_in_last_7_days"),
-        trailing(14).alias("ad_group_spend_in_last_14_days"),
-    )
+    return last_state(
+        sources[AD_GROUPS], ["ad_group_id"], {}, "segments_date",
+        greatest={"ad_group_type": "ad_group_type", "ad_group_name": "ad_group_name"},
+        first=_spends(as_of), then=_spend_totals("ad_group"))
 
 
 def ad_group_dim(sources: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     """intermediate_google_ads_group_with_product_categories: one row per ad group that has ads."""
     texts = ad_texts(ad_state(sources))
-    cats = ad_group_categories(texts)
-    return lookup(lookup(cats, ad_group_state(sources, as_of), ["ad_group_id"]), texts, ["ad_group_id"])
+    kept = [c for c in texts.columns if c != "ad_group_id"]
+    named = lookup(ad_group_categories(texts, kept), ad_group_state(sources, as_of), ["ad_group_id"])
+    state = [c for c in named.columns if c not in texts.columns]
+    return named.select("ad_group_id", *state, *kept)
 
 
 # ------------------------------------------------------------------ daily fact
@@ -312,6 +306,7 @@ def daily_grains(sources: Mapping[str, DataFrame]) -> DataFrame:
     return merged.select("campaign_id", "ad_group_id", "keyword", "ad_run_date", *METRICS)
 
 
+# The category, channel and campaign-type rules below.
 def gads_category(ad_group_type: Column, channel_type: Column, brand: Column) -> Column:
     """Google ads category (before quote stripping)."""
     return first_match([

@@ -12,15 +12,13 @@ from admart.config import Config, MetaSegments
 from admart.functions.dates import month_start
 from admart.functions.geo import region_of
 from admart.functions.json_metrics import array_metric_max, array_metric_sum, json_array
-
-VALUE_SCHEMA = "array<struct<value:string>>"
 from admart.functions.rules import first_match, like_any
 from admart.functions.text import regexp_extract_or_null
 from admart.operators.aggregates import segment_sums
 from admart.operators.windows import clamp_outliers, rank_median
-from admart.session import cut_lineage
 
 SOURCE = "source_daily_meta_ads"
+VALUE_SCHEMA = "array<struct<value:string>>"
 
 
 def free_shipping_note(ad_name: Column) -> Column:
@@ -117,6 +115,7 @@ def meta_country(adset: Column, ad: Column, campaign: Column, bracket: Column |
 def meta_category(category: Column, ad: Column, adset: Column, campaign: Column) -> Column:
     """Product category: bracket code (FRAG -> FRD, MCE -> MSC) else rules on the names."""
     a, s, c = F.lower(ad), F.lower(adset), F.lower(campaign)
+    # The needles of both rule lists.
     by_name = first_match([
         (like_any(a, "%satin%", "%skl%", "%jewel_smoky%", "%sigsmokeout%"), "SKL"),
         (like_any(a, "%lid%", "%ibwp%") | (a.like("%free%") & a.like("%copy%")) | s.like("%eye%"), "EYE"),
@@ -160,24 +159,22 @@ def aov_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("aov", aov).withColumn("month_start_date", month_start("ad_run_date"))
 
 
-def aov_medians(rows: DataFrame, materialize: bool = True) -> DataFrame:
+def aov_medians(rows: DataFrame) -> DataFrame:
     """Rank-median AOV per (region, month) over rows with purchases and purchase value."""
     valid = rows.where(F.col("onsite_web_app_purchase_sum_usd").isNotNull()
                        & F.col("onsite_web_purchases").isNotNull()
                        & (F.col("onsite_web_purchases") != 0))
-    return rank_median(valid, ["region", "month_start_date"], "aov", out="aov_reion_month_median",
-                       materialize=materialize)
+    return rank_median(valid, ["region", "month_start_date"], "aov", out="aov_reion_month_median")
 
 
 def daily_meta_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None,
-                   columns: list[str] | None = None, materialize: bool = True) -> DataFrame:
+                   columns: list[str] | None = None) -> DataFrame:
     """daily_meta_ads: one row per ad-day with flags, country, region, category and the revenue
     recomputed from the outlier-corrected AOV (purchases x corrected AOV).
 
-    The enriched rows feed both the region-month medians and the clamp join, so with
-    ``materialize`` they are written once (parquet, shared checkpoint folder) and both read that
-    copy instead of parsing the JSON columns again. ``columns`` keeps only what a consumer needs
-    (plus the AOV inputs) in that copy.
+    A lazy plan: the medians (at most seven regions times the months of the data) are one
+    pre-aggregated branch and are broadcast to the rows, which stay where they were read.
+    ``columns`` keeps only what a consumer needs (plus the AOV inputs).
     """
     cfg = cfg or Config()
     base = with_country_category(with_segments(extract_metrics(ad_name_updated(sources)), cfg.meta))
@@ -186,10 +183,7 @@ def daily_meta_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None,
         keep = list(dict.fromkeys([*columns, "region", "month_start_date", "aov", "onsite_web_purchases",
                                    "onsite_web_app_purchase_sum_usd"]))
         rows = rows.select(*keep)
-    if materialize:
-        rows = cut_lineage(rows)
-    medians = aov_medians(rows, materialize=not materialize)
-    corrected = clamp_outliers(rows, medians, ["region", "month_start_date"], "aov",
+    corrected = clamp_outliers(rows, aov_medians(rows), ["region", "month_start_date"], "aov",
                                "aov_reion_month_median", "aov_corrected", cfg.aov_outlier_factor)
     revenue = F.col("onsite_web_purchases") * F.col("aov_corrected")
     return (corrected.withColumn("onsite_web_app_purchase_sum_usd", revenue)
@@ -210,11 +204,15 @@ ROLLUP_COLUMNS = ["ad_run_date", "impressions", "landing_page_views", "unique_in
 
 
 def meta_daily(meta: DataFrame) -> DataFrame:
-    """Meta part of the all-ads mart: totals and 4 segments x 6 metrics per (date, region)."""
+    """Meta part of the all-ads mart: totals and 4 segments x 6 metrics per (date, region).
+
+    Revenue per ad-day is a double; it is added up as a decimal of six places, so the sums don't
+    depend on the order of the rows."""
+    sales = "CAST(onsite_web_app_purchase_sum_usd AS DECIMAL(28,6))"
     seg = segment_sums({
         "landing_page_views": "landing_page_views", "conversions": "onsite_web_purchases",
         "impressions": "impressions", "clicks": "unique_inline_link_clicks", "spend": "spend",
-        "sales": "onsite_web_app_purchase_sum_usd"},
+        "sales": sales},
         SEGMENTS, name="meta_{metric}_{segment}")
     return meta.groupBy(F.col("ad_run_date").alias("date"), "region").agg(
         F.sum("impressions").alias("meta_impressions"),
@@ -222,5 +220,5 @@ def meta_daily(meta: DataFrame) -> DataFrame:
         F.sum("unique_inline_link_clicks").alias("meta_clicks"),
         F.sum("spend").alias("meta_spend"),
         F.sum("onsite_web_purchases").alias("meta_conversions"),
-        F.sum("onsite_web_app_purchase_sum_usd").alias("meta_sales"),
+        F.expr(f"sum({sales})").alias("meta_sales"),
         *seg)

@@ -53,7 +53,7 @@ def _month_of(text_col: str) -> F.Column:
 
 
 def orders_by_period(sources: Mapping[str, DataFrame],
-                     periods: Sequence[Period] = DEFAULT_PERIODS, one_pass: bool = True) -> DataFrame:
+                     periods: Sequence[Period] = DEFAULT_PERIODS) -> DataFrame:
     """shopify_monthly_orders_per_region_per_customer_type: distinct orders per month, region and
     customer type, plus each named period as the sum of its monthly counts (an order seen in two
     months counts twice there)."""
@@ -65,74 +65,45 @@ def orders_by_period(sources: Mapping[str, DataFrame],
         "order_id")
     monthly = keyed.groupBy("month", "region", "customer_type").agg(
         F.count_distinct("order_id").alias("orders"))
-    if not one_pass:
-        return period_union(monthly, "month", periods, ["region", "customer_type"],
-                            [F.sum("orders").alias("orders")],
-                            monthly.select(F.col("month").cast("string").alias("period"),
-                                           "region", "customer_type", "orders"))
     return period_rollup(monthly, "month", periods, ["region", "customer_type"],
                          [F.sum("orders").alias("orders")]).select(
         "period", "region", "customer_type", "orders")
 
 
-def period_union(df: DataFrame, month: str, periods: Sequence[Period], keys: list[str],
-                 aggs: list, month_rows: DataFrame) -> DataFrame:
-    """The literal form of a period roll-up: one filtered aggregate per named period, unioned with
-    the per-month rows (one scan of ``df`` per branch). Used to measure the one-pass form."""
-    parts = [df.where(F.col(month).between(F.lit(p.first_month), F.lit(p.last_month)))
-             .groupBy(*keys).agg(*aggs).select(F.lit(p.label).alias("period"), *keys,
-                                               *[a for a in month_rows.columns if a not in keys
-                                                 and a != "period"])
-             for p in periods]
-    out = month_rows
-    for part in parts:
-        out = out.unionByName(part)
-    return out
-
-
-def dedupe_orders(sources: Mapping[str, DataFrame]) -> DataFrame:
+def dedupe_orders(sources: Mapping[str, DataFrame], partition_by: Sequence[str] | None = None) -> DataFrame:
     """One row per (month, billing country, order, customer type): the one with the highest
     total sales (ties: the other columns, descending)."""
     return dedupe_top1(sources[ORDERS], ["month", "billing_country", "order_id", "customer_type"],
-                       ["total_sales"])
+                       ["total_sales"], partition_by=partition_by)
 
 
 def sku_sales_by_period(sources: Mapping[str, DataFrame],
-                        periods: Sequence[Period] = DEFAULT_PERIODS, one_pass: bool = True) -> DataFrame:
+                        periods: Sequence[Period] = DEFAULT_PERIODS) -> DataFrame:
     """shopify_sales_per_order_per_period_aov_analysis: per period, SKU, product, price, customer
     type and region - distinct orders, rounded quantities and money, and AOV.
 
     The order lines are joined to the deduplicated orders on (month, order) only, so an order with
-    two countries or customer types multiplies its lines, as in the reference.
+    two countries or customer types multiplies its lines, as in the reference. The deduplicated
+    orders are laid out by (month, order) for this join. Lines are added up per order and month
+    before they are copied to the periods that hold the month.
     """
-    orders = dedupe_orders(sources).select(
+    orders = dedupe_orders(sources, partition_by=["month", "order_id"]).select(
         F.col("month").alias("__m"), F.col("order_id").alias("__o"),
         F.concat(F.col("customer_type"), F.lit(" / "), F.col("purchase_option")).alias("customer_type"))
-    lines = sources[ORDER_LINES]
+    lines = sources[ORDER_LINES].where(F.col("variant_sku").isNotNull())
     joined = lines.join(orders, (lines["month"] == orders["__m"]) & (lines["order_id"] == orders["__o"]), "inner")
-    rows = joined.select(
-        _month_of("month").alias("month"),
-        "order_id", "customer_type", "variant_sku",
+    keys = ["variant_sku", "product_title", "customer_type", "product_price", "region"]
+    money = ["ordered_item_quantity", "gross_sales", "discounts", "net_sales"]
+    per_order = joined.select(
+        "month", "order_id", "customer_type", "variant_sku",
         F.col("product").alias("product_title"), "product_price",
         F.col("ordered_items").alias("ordered_item_quantity"),
         "gross_sales", "discounts", "net_sales",
-        region_of("billing_country").alias("region"))
-    keys = ["period", "variant_sku", "product_title", "customer_type", "product_price", "region"]
-    money = ["ordered_item_quantity", "gross_sales", "discounts", "net_sales"]
-    if one_pass:
-        # Money is summed as exact long cents: the same sums as decimal(18,2), but with fixed-width
-        # aggregation buffers (a decimal(28,2) buffer is a BigDecimal per update).
-        cents = {m: (F.col(m) * 100).cast("long").alias(m) for m in money[1:]}
-        as_cents = rows.select(*[cents.get(c, F.col(c)) for c in rows.columns])
-        exploded = as_cents.withColumn("period", F.explode(period_labels("month", periods)))
-        rolled = distinct_count_and_sums(exploded, keys, "order_id", "orders", {m: m for m in money})
-        rolled = rolled.select(*[(F.col(c).cast("decimal(38,0)") / 100).cast("decimal(38,2)").alias(c)
-                                 if c in cents else F.col(c) for c in rolled.columns])
-    else:
-        aggs = [F.count_distinct("order_id").alias("orders"), *[F.sum(m).alias(m) for m in money]]
-        month_rows = rows.groupBy(F.col("month").cast("string").alias("period"), *keys[1:]).agg(*aggs)
-        rolled = period_union(rows, "month", periods, keys[1:], aggs, month_rows)
-    rounded = rolled.where(F.col("period").isNotNull() & F.col("variant_sku").isNotNull()).select(
+        region_of("billing_country").alias("region"),
+    ).groupBy("month", "order_id", *keys).agg(*[F.sum(m).alias(m) for m in money])
+    in_periods = per_order.withColumn("period", F.explode(period_labels(_month_of("month"), periods)))
+    rolled = distinct_count_and_sums(in_periods, ["period", *keys], "order_id", "orders", {m: m for m in money})
+    rounded = rolled.where(F.col("period").isNotNull()).select(
         "period", "variant_sku", "product_title", "customer_type",
         F.col("product_price").cast("double").alias("product_price"), "orders",
         *[F.round(F.col(m)).cast("double").alias(m) for m in money], "region")

@@ -6,6 +6,7 @@ and runs one model or operator on them. ``as_of`` is pinned so trailing-spend co
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,10 @@ from admart.functions.dates import latest_date
 from admart.functions.geo import region_of, with_country_code
 from admart.plans import combined, ga4, google_ads, meta_ads, shopify
 from admart.plans.combined import decimals_to_double
+from admart.session import shared_folder
+from admart.sources import SCHEMAS, as_view, physical_name, save_table, warehouse_sources
 from admart.sources.fixtures import fixture_sources
+from admart.sources.registry import parquet_reader
 
 CFG = Config(prospect="fixture", customer_id="0", as_of=FIXTURE_AS_OF)
 
@@ -184,11 +188,7 @@ def q_grain_backfill_keyword(spark, sf_dir):
 
 def q_daily_google_ads(spark, sf_dir):
     """J4, B18-B21, X2."""
-    g = google_ads.daily_google_ads(_src(spark, sf_dir), CFG)
-    return g.select("google_ads_category", "product_category", "campaign_id", "ad_group_id", "keyword",
-                    "ad_run_date", "spend", "impressions", "clicks", "conversions",
-                    "metrics_conversions_value", "brand_name", "region", "country", "campaign_name",
-                    "ad_group_type", "ad_descriptions", "ads_platform", "channel", "campaign_type")
+    return google_ads.daily_google_ads(_src(spark, sf_dir), CFG)
 
 
 def q_gads_daily_rollup(spark, sf_dir):
@@ -215,6 +215,26 @@ def q_latest_date(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def q_mart_tables(spark, sf_dir):
+    """Sources laid out as warehouse tables, read back through the registry; the
+    all-ads mart saved as a table by month and the Meta view sorted by date, both read back."""
+    root = f"{shared_folder(spark)}/admart-marts-{uuid.uuid4().hex}"
+    sources = _src(spark, sf_dir)
+    for name in SCHEMAS:
+        save_table(sources[name], path=f"{root}/{physical_name(name, CFG).replace('.', '/')}")
+    warehouse = warehouse_sources(spark, CFG, parquet_reader(root))
+    save_table(combined.all_ads_daily(warehouse, CFG), path=f"{root}/mart", partition_by=["month"])
+    meta = decimals_to_double(meta_ads.daily_meta_ads(warehouse, CFG, columns=["ad_id", "ad_run_date", "spend"]))
+    view = f"daily_meta_ads_{uuid.uuid4().hex}"
+    as_view(meta, view, order_by=[F.desc("ad_run_date")])
+    mart = spark.read.parquet(f"{root}/mart")
+    days = spark.table(view).groupBy(F.col("ad_run_date").alias("date")).agg(
+        F.count(F.lit(1)).alias("meta_rows"), F.min("ad_id").alias("least_ad"))
+    per_day = mart.groupBy("date").agg(F.count(F.lit(1)).alias("mart_rows"), F.sum("vbb_orders").alias("orders"),
+                                       F.sum("ga4_sessions").alias("sessions"))
+    return per_day.join(days, "date", "left")
+
+
 QUERIES: dict[str, Query] = {
     "country_code": q_country_code,
     "region_map": q_region_map,
@@ -248,4 +268,5 @@ QUERIES: dict[str, Query] = {
     "gads_daily_rollup": q_gads_daily_rollup,
     "all_ads_daily": q_all_ads_daily,
     "latest_date": q_latest_date,
+    "mart_tables": q_mart_tables,
 }

@@ -1,12 +1,10 @@
-"""SparkSession construction and the lineage-cut helper."""
+"""SparkSession construction and the folder that its executors share."""
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every run wants: AQE re-plans joins from runtime sizes (this is the size check behind
 # every non-forced broadcast), coalesces small shuffle partitions and splits skewed ones.
@@ -18,8 +16,6 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # RDD checkpoint files are removed once their RDD is garbage-collected (scratch, not results)
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,67 +31,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only when none is configured.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is left untouched.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: only the session conf is visible
-        current = spark.conf.get("spark.checkpoint.dir", None)
-        if not current:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        return current
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store): "
-                           "a machine-local scratch folder is not visible to other executors")
-    path = tempfile.mkdtemp(prefix="admart-ckpt-", dir=os.environ.get("ADMART_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` as a parquet table under the session's shared checkpoint folder and
-    return a scan of it.
-
-    The write survives executor loss (it is in shared storage, not on an executor), the lineage is
-    cut, and unlike an RDD checkpoint the copy is columnar: later readers prune columns and push
-    filters into it. Runs one job now.
-    """
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/admart-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
-    """Settings for a cluster run sized from the input volume.
-
-    - Scan splits of 256 MiB keep per-task memory bounded (~400k scan tasks on 100 TB).
-    - Initial shuffle partitions: one per GiB of input, clamped to 2x..20x the cores. Shuffles
-      carry pruned columns after map-side partial aggregation, far less than the raw input, and
-      AQE coalesces partitions below the advisory size and splits skewed ones at run time; a
-      partition count sized from raw bytes would only multiply shuffle blocks (maps x reducers).
-    - Broadcast stays at 64 MiB: only the fixed lookup is forced; every other broadcast is AQE's
-      runtime decision from measured sizes.
-    """
-    partitions = min(max(2 * total_cores, -(-input_bytes // (1 << 30))), 20 * total_cores)
-    return {
-        **BASE_CONF,
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
-    }
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir, which driver and executors share. A scratch folder
+    stands in only where the setting is missing and everything runs in one JVM, as in tests."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not sc._jsc.sc().isLocal():  # local-cluster isn't local
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    root = tempfile.mkdtemp(prefix="admart-shared-")
+    sc.setCheckpointDir(root)
+    return root

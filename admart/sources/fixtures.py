@@ -10,6 +10,7 @@ that every rule arm of the models is reached.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,8 @@ PURCHASE_OPTION = ["one-time", "subscription"]
 CAL_START = dt.date(2024, 1, 1)
 CAL_DAYS = 180
 SHOP_URL = "https://shop.example/"
+#: Added to an ad group's id where a table is to miss it.
+ELSEWHERE = 50
 
 # ---------------------------------------------------------------- column helpers
 
@@ -107,6 +110,21 @@ def cents(c: Column) -> Column:
     return F.round(c * 100).cast("long")
 
 
+def nano(c: Column) -> Column:
+    """A number of nine decimals from a long of billionths (exact in any engine)."""
+    return (c.cast("decimal(24,0)") * F.lit(Decimal("0.000000001"))).cast("decimal(24,9)")
+
+
+def fraction(count: Column, key: Column) -> Column:
+    """``count`` and a fraction of up to 0.166500333, as attributed conversions have."""
+    return nano(count.cast("long") * 1_000_000_000 + (key % 1000) * 166_667)
+
+
+def mills(money: Column, key: Column) -> Column:
+    """Two-decimal ``money`` and up to nine thousandths."""
+    return nano((cents(money) * 10 + key % 10) * 1_000_000)
+
+
 def from_cents(c: Column) -> Column:
     return (c.cast("decimal(18,0)") / 100).cast("decimal(18,2)")
 
@@ -150,18 +168,19 @@ def _gads_metrics(line: DataFrame) -> list[Column]:
         (cents(F.col("l_extendedprice")) * 10000).alias("metrics_cost_micros"),
         (F.col("l_quantity") * 100).cast("long").alias("metrics_impressions"),
         F.col("l_quantity").cast("long").alias("metrics_clicks"),
-        dec(F.col("l_linenumber")).alias("metrics_conversions"),
-        dec(F.col("l_extendedprice")).alias("metrics_conversions_value"),
+        fraction(F.col("l_linenumber"), F.col("l_orderkey")).alias("metrics_conversions"),
+        mills(F.col("l_extendedprice"), F.col("l_orderkey")).alias("metrics_conversions_value"),
     ]
 
 
 def google_keyword(lineitem: DataFrame) -> DataFrame:
-    """Keyword x day rows; ad groups with k = 5 have no keywords."""
+    """Keyword x day rows; ad groups with k = 5 have no keywords, theirs name an ad group that no
+    other table knows."""
     campaign, k, ad_group = _gads_ids(F.col("l_partkey"))
     ln = F.col("l_linenumber")
-    return lineitem.where(k < 5).select(
+    return lineitem.select(
         campaign.alias("campaign_id"),
-        ad_group.alias("ad_group_id"),
+        F.when(k == 5, ad_group + ELSEWHERE).otherwise(ad_group).alias("ad_group_id"),
         pick(KW, F.col("l_orderkey") % 30).alias("ad_group_criterion_keyword_text"),
         cal(F.col("l_orderkey")).alias("segments_date"),
         *_gads_metrics(lineitem),
@@ -183,23 +202,25 @@ def google_adstats(lineitem: DataFrame) -> DataFrame:
 
 
 def google_campaign(orders: DataFrame) -> DataFrame:
-    """Campaign x day rows; campaign 16 is absent (its Google rows get no region)."""
+    """Campaign x day rows; campaign 16 goes by another id here (its Google rows get no region).
+    In the first 60 days of the calendar a campaign bears its neighbour's name."""
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     cid = (ok % 20).cast("long")
+    named = F.when(idiv(ok, 20) % CAL_DAYS < 60, (cid + 1) % 20).otherwise(cid)
     chan = F.when((cid == 3) & (ck % 7 == 0), F.lit(None).cast("string")).otherwise(
         pick(CHAN, (cid + 4) % 5))
     events = (F.when(ok % 3 == 0, F.array(F.lit("CLICK")))
               .when(ok % 3 == 1, F.array(F.lit("CLICK"), F.lit("ENGAGEMENT")))
               .otherwise(F.array(F.lit("VIDEO_VIEW"))))
-    return orders.where(ok % 20 != 16).select(
-        cid.alias("campaign_id"),
+    return orders.select(
+        F.when(cid == 16, cid + 20).otherwise(cid).alias("campaign_id"),
         cal(idiv(ok, 20)).alias("segments_date"),
-        pick(CAMP, cid).alias("campaign_name"),
+        pick(CAMP, named).alias("campaign_name"),
         (cents(F.col("o_totalprice")) * 10000).alias("metrics_cost_micros"),
         (ck % 1000).cast("long").alias("metrics_impressions"),
         (ck % 50).cast("long").alias("metrics_clicks"),
-        dec(ck % 5).alias("metrics_conversions"),
-        dec(F.col("o_totalprice")).alias("metrics_conversions_value"),
+        fraction(ck % 5, ok).alias("metrics_conversions"),
+        mills(F.col("o_totalprice"), ok).alias("metrics_conversions_value"),
         (ck % 100).cast("long").alias("metrics_video_views"),
         pick(NETWORK, ok % 3).alias("segments_ad_network_type"),
         events.alias("metrics_interaction_event_types"),
@@ -209,10 +230,10 @@ def google_campaign(orders: DataFrame) -> DataFrame:
 
 
 def google_ad_group(lineitem: DataFrame) -> DataFrame:
-    """Ad group x day attribute rows; ad groups with id % 13 = 0 are missing (join misses)."""
+    """Ad group x day attribute rows; ad groups with id % 13 = 0 go by another id here (join misses)."""
     campaign, k, ad_group = _gads_ids(F.col("l_partkey"))
-    return lineitem.where(ad_group % 13 != 0).select(
-        ad_group.alias("ad_group_id"),
+    return lineitem.select(
+        F.when(ad_group % 13 == 0, ad_group + ELSEWHERE).otherwise(ad_group).alias("ad_group_id"),
         pick(AGTYPE, (campaign + k) % 10).alias("ad_group_type"),
         F.concat(F.lit("ag_"), ad_group.cast("string")).alias("ad_group_name"),
         cal(F.col("l_orderkey")).alias("segments_date"),
@@ -229,31 +250,28 @@ def google_ad(part: DataFrame) -> DataFrame:
     url = F.when(k == 5, F.lit(SHOP_URL + "home")).otherwise(
         F.concat(F.lit(SHOP_URL + "products/"), slug))
     text = F.concat(F.lit('text: "care '), (campaign % 4).cast("string"), F.lit('"'))
-    current = part.select(
-        ad_group.alias("ad_group_id"),
-        pk.alias("ad_group_ad_ad_id"),
-        cal(pk).alias("segments_date"),
-        F.col("p_name").alias("ad_group_ad_ad_name"),
-        pick(ADTYPE, type_idx).alias("ad_group_ad_ad_type"),
-        F.array(url).alias("ad_group_ad_ad_final_urls"),
-        F.array(text).alias("ad_group_ad_ad_responsive_search_ad_descriptions"),
-        F.array(text).alias("ad_group_ad_ad_video_responsive_ad_descriptions"),
-        F.array(text).alias("ad_group_ad_ad_responsive_display_ad_descriptions"),
-        text.alias("ad_group_ad_ad_expanded_text_ad_description"),
-    )
-    older = part.where(pk % 3 == 0).select(
-        ad_group.alias("ad_group_id"),
-        pk.alias("ad_group_ad_ad_id"),
-        F.date_sub(cal(pk), 1).alias("segments_date"),
-        F.concat(F.col("p_name"), F.lit(" (old)")).alias("ad_group_ad_ad_name"),
-        pick(ADTYPE, (type_idx + 1) % 5).alias("ad_group_ad_ad_type"),
-        F.array(F.lit(SHOP_URL + "collections/old-stock")).alias("ad_group_ad_ad_final_urls"),
-        F.array(F.lit('text: "old"')).alias("ad_group_ad_ad_responsive_search_ad_descriptions"),
-        F.array(F.lit('text: "old"')).alias("ad_group_ad_ad_video_responsive_ad_descriptions"),
-        F.array(F.lit('text: "old"')).alias("ad_group_ad_ad_responsive_display_ad_descriptions"),
-        F.lit('text: "old"').alias("ad_group_ad_ad_expanded_text_ad_description"),
-    )
-    return current.unionByName(older)
+    urls = F.when((k < 5) & (pk % 4 == 0), F.array(url, F.lit(SHOP_URL + "pages/about"))).otherwise(F.array(url))
+    texts = (F.when(pk % 12 == 1, F.array(text, F.lit('text: "two\nlines"'), F.lit('text: "last"')))
+             .when(pk % 6 == 1, F.array(text, F.lit('text: "more"'))).otherwise(F.array(text)))
+    def version(day: Column, name: Column, type_index: Column, url_list: Column, text_list: Column, single: Column) -> Column:
+        return F.struct(
+            ad_group.alias("ad_group_id"),
+            pk.alias("ad_group_ad_ad_id"),
+            day.alias("segments_date"),
+            name.alias("ad_group_ad_ad_name"),
+            pick(ADTYPE, type_index % 5).alias("ad_group_ad_ad_type"),
+            url_list.alias("ad_group_ad_ad_final_urls"),
+            text_list.alias("ad_group_ad_ad_responsive_search_ad_descriptions"),
+            text_list.alias("ad_group_ad_ad_video_responsive_ad_descriptions"),
+            text_list.alias("ad_group_ad_ad_responsive_display_ad_descriptions"),
+            single.alias("ad_group_ad_ad_expanded_text_ad_description"))
+
+    old_text = F.lit('text: "old"')
+    current = version(cal(pk), F.col("p_name"), type_idx, urls, texts, text)
+    older = version(F.date_sub(cal(pk), 1), F.concat(F.col("p_name"), F.lit(" (old)")), type_idx + 1,
+                    F.array(F.lit(SHOP_URL + "collections/old-stock")), F.array(old_text), old_text)
+    versions = F.when(pk % 3 == 0, F.array(current, older)).otherwise(F.array(current))
+    return part.select(F.explode(versions).alias("v")).select("v.*")
 
 
 def _action(action_type: str, value: Column) -> Column:
@@ -392,42 +410,18 @@ def shopify_orders_new_return(orders: DataFrame) -> DataFrame:
             .unionByName(rows(ok % 30 == 0, _shop_month(ok, ck, 1), base_type, sales)))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the session has cores.
-
-    Parquet splits only at row-group boundaries; the driver's tables are single row-group files.
-    Where a scan feeds a long narrow pipeline (broadcast joins, projections, explode) before its
-    first shuffle, all of that would run in one task; the order lines (broadcast joins) and the
-    Meta rows (JSON building and parsing up to their materialization) are such cases. Large
-    multi-row-group inputs already have enough splits and are returned unchanged (no shuffle).
-    Scans followed directly by an aggregate or a shuffled join are not spread: the shuffle
-    parallelises the rest and an extra one would only add cost.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    return df if current >= target else df.repartition(target)
-
-
 def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":
     """Logical source name -> DataFrame derived from the driver's tables.
 
-    Sources are built on first access only, so a query pays for the sources it reads.
+    Sources are built on first access only, so a query pays for the sources it reads. Each passes
+    through ``conform``, as a warehouse's tables do.
     """
-    from admart.sources.registry import LazySources
-
-    tables: dict[str, DataFrame] = {}
+    from admart.sources.registry import LazySources, conform
 
-    def t(name: str, spread_out: bool = False) -> DataFrame:
-        key = f"{name}/spread" if spread_out else name
-        if key not in tables:
-            df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-            tables[key] = spread(df) if spread_out else df
-        return tables[key]
+    def t(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    return LazySources({
+    adapters = {
         "source_ga4_daily_country_marketing_channel": lambda: ga4_channel(t("events")),
         "source_ga4_demographic_country_report": lambda: ga4_demographic(t("events")),
         "source_daily_google_ads_keywords": lambda: google_keyword(t("lineitem")),
@@ -435,11 +429,12 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> "LazySources":
         "source_daily_google_ads_ad_group_with_more_stats": lambda: google_adstats(t("lineitem")),
         "source_daily_google_ads_ad_group": lambda: google_ad_group(t("lineitem")),
         "source_daily_google_ads_ad": lambda: google_ad(t("part")),
-        "source_daily_meta_ads": lambda: meta_insights(t("events", spread_out=True)),
+        "source_daily_meta_ads": lambda: meta_insights(t("events")),
         "source_daily_new_return_sales_orders_2024_shopify": lambda: shopify_daily_2024(t("orders")),
         "source_daily_new_return_sales_orders_2023_shopify": lambda: shopify_daily_2023(t("orders")),
         "source_shopify_daily_sales_orders_users_by_country":
-            lambda: shopify_order_lines(t("lineitem", spread_out=True), t("orders"), t("part")),
+            lambda: shopify_order_lines(t("lineitem"), t("orders"), t("part")),
         "source_shopify_monthly_sales_orders_new_return_per_order":
             lambda: shopify_orders_new_return(t("orders")),
-    })
+    }
+    return LazySources({n: (lambda n=n, make=make: conform(make(), n)) for n, make in adapters.items()})

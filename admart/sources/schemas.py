@@ -1,13 +1,14 @@
 """Declared source schemas: only the columns the models use, with the types they need.
 
 The reference declares no columns (schemas are inferred by the warehouse); declaring them here lets a
-reader project and cast once at the scan, so Catalyst prunes every other column.
+reader project and cast once at the scan, so Catalyst prunes every other column. Money and conversions
+keep nine decimals: feeds report fractions of both, and they are rounded after the sum, never before.
 """
 
 from pyspark.sql.types import (ArrayType, DateType, DecimalType, DoubleType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
-S, L, D, DEC, DBL, TS = StringType(), LongType(), DateType(), DecimalType(18, 2), DoubleType(), TimestampType()
+S, L, D, DEC, DBL, TS = StringType(), LongType(), DateType(), DecimalType(24, 9), DoubleType(), TimestampType()
 ARR = ArrayType(StringType())
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def as_view(df: DataFrame, name: str) -> DataFrame:
-    """View sink: register the lazy plan under ``name``; nothing is computed."""
+def as_view(df: DataFrame, name: str, order_by: list | None = None) -> DataFrame:
+    """View sink: register the lazy plan under ``name``; nothing is computed. ``order_by`` is the
+    final sort of the view, applied here and not inside the models."""
+    df = df.orderBy(*order_by) if order_by else df
     df.createOrReplaceTempView(name)
     return df
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from admart.config import DEFAULT_PERIODS
 from admart.operators import (backfill, channel_merge, dedupe_top1, distinct_count_and_sums,
                               merge_by_key, period_rollup, rank_median)
-from admart.operators.aggregates import distinct_concat, last_value, ordered_concat
+from admart.operators.aggregates import distinct_concat, last_state, last_value, ordered_concat
+from admart.operators.windows import value_bucket
 
 
 def bag(df):
@@ -85,7 +86,7 @@ def test_rank_median_matches_brute_force_with_hot_group_and_ties(spark):
             rows.append((g, float(rng.randrange(0, 50)) if g == "g" else rng.random() * 100))
     rows += [("c", None), (None, 3.0), (None, 9.0)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r[0]: r[1] for r in rank_median(df, ["k"], "v", out="m", accuracy=1000).collect()}
+    got = {r[0]: r[1] for r in rank_median(df, ["k"], "v", out="m").collect()}
     groups = {}
     for k, v in rows:
         if v is not None:
@@ -95,10 +96,35 @@ def test_rank_median_matches_brute_force_with_hot_group_and_ties(spark):
         assert got[k] == brute_median(vals), k
 
 
-def test_rank_median_without_materialize(spark):
+def test_rank_median_even_count_and_signs(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(10)], "k string, v double")
     # n = 10: both ranks are 6 (round(5) + 1 and round(5.5)), so the value is 5.0, not 4.5 or 5.5
-    assert rank_median(df, ["k"], "v", materialize=False).collect()[0][1] == 5.0 == brute_median(range(10))
+    assert rank_median(df, ["k"], "v").collect()[0][1] == 5.0 == brute_median(range(10))
+    rng = random.Random(1)
+    for n in (7, 8, 200, 201):
+        vals = [rng.choice([-1, 1]) * rng.choice([0.0, 1e-9, 0.5, 0.5000001, 3.0, 1e12]) * rng.random() for _ in range(n)]
+        df = spark.createDataFrame([("a", v) for v in vals], "k string, v double")
+        assert rank_median(df, ["k"], "v").collect()[0][1] == brute_median(vals)
+
+
+def test_value_bucket_never_falls(spark):
+    rng = random.Random(5)
+    vals = sorted({rng.choice([-1, 1]) * 10 ** rng.uniform(-12, 12) for _ in range(3000)} | {0.0, -0.0, 1.0, 2.0, 1e300, -1e300})
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r[1] for r in sorted(df.select("v", value_bucket(F.col("v"))).collect())]
+    assert got == sorted(got)
+
+
+def test_last_state_in_two_steps(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice("ab"), dt.date(2024, 1, rng.randint(1, 5)), rng.choice(["x", "y", None]), rng.choice(["p", "q", None]), rng.randint(1, 9))
+            for _ in range(60)]
+    df = spark.createDataFrame(rows, "k string, d date, x string, y string, n long")
+    got = last_state(df, {"key": "k"}, {"x": "x"}, "d", greatest={"y": "y"}, first={"__n": F.sum("n"), "__f": F.min("d")},
+                     then={"n": F.sum("__n"), "first": F.min("__f"), "last": F.max("__last")})
+    want = df.groupBy(F.col("k").alias("key")).agg(
+        last_value("x", "d").alias("x"), F.max("y").alias("y"), F.sum("n").alias("n"), F.min("d").alias("first"), F.max("d").alias("last"))
+    assert bag(got) == bag(want)
 
 
 def test_dedupe_top1(spark):
@@ -107,6 +133,8 @@ def test_dedupe_top1(spark):
     df = spark.createDataFrame(rows, "k string, s double, p string, o long")
     got = {r[0]: tuple(r) for r in dedupe_top1(df, ["k"], ["s"]).collect()}
     assert got == {"k1": ("k1", 7.0, "one-time", 1), "k2": ("k2", None, "b", 0), "k3": ("k3", 1.0, "a", 1)}
+    laid_out = dedupe_top1(df.unionByName(df), ["k", "o"], ["s"], partition_by=["k"])
+    assert bag(laid_out) == bag(dedupe_top1(df, ["k", "o"], ["s"]))
 
 
 def test_distinct_count_and_sums(spark):

@@ -160,3 +160,43 @@ def test_latest_date_kinds(spark):
     assert latest_date(df, "d", "date").collect()[0][0] == dt.date(2024, 1, 5)
     with pytest.raises(ValueError):
         latest_date(df, "d", "STRING")
+
+
+def test_trim_takes_unicode_white_space(spark):
+    df = spark.createDataFrame([("\u00a0a b\u00a0\u2003",), ("\u3000x",)], "x string")
+    assert [r[0] for r in df.select(trim_ws(F.col("x"))).collect()] == ["a b", "x"]
+
+
+def test_json_quote_escapes_as_json(spark):
+    rows = [('a"b\\c',), ("two\nlines\t",), (None,), ("é\u0001",), ("",)]
+    assert one(spark, json_quote(F.col("x")), rows) == ['"a\\"b\\\\c"', '"two\\nlines\\t"', "null", '"é\\u0001"', '""']
+
+
+def test_newline_in_an_ad_text_is_no_piece(spark):
+    texts = F.regexp_extract_all(json_string(F.array(F.col("x"), F.lit('text: "ok"'))), F.lit(google_ads.AD_TEXT), 1)
+    assert one(spark, texts, [('text: "two\nlines"',)]) == [["ok"]]
+
+
+def test_json_path_and_bad_numbers(spark):
+    import pytest
+    rows = [('[{"v":{"a":"2"}},{"v":{"a":3}},{"v":{}}]',), ("[]",), (None,)]
+    assert one(spark, json_metric_sum(F.col("x"), "$.v.a"), rows) == [5, None, None]
+    for bad in ('[{"action_type":"p","value":"3.0"},{"action_type":"p","value":"2"}]', '[{"action_type":"p","value":"x"}]'):
+        for metric in (json_metric_max(F.col("x"), "p"), json_metric_sum(F.col("x"))):
+            with pytest.raises(Exception, match="not a bigint"):
+                one(spark, metric, [(bad,)])
+
+
+def test_rule_data_counts_and_spot_values():
+    """The data both sides share, and the oracle's own tables, hold what the survey counts."""
+    from admart import oracle
+    from admart.functions.geo import REGION_KEYS, country_code_rows
+    from admart.plans.combined import ALL_ADS_MEASURES
+    pairs = country_code_rows()
+    assert len(pairs) == 305 and len(dict(pairs)) == 305 and len({c for _, c in pairs}) == 250
+    assert dict(pairs)["Namibia"] == "NA" and dict(pairs)["Türkiye"] == "TR"
+    assert sum(map(len, REGION_KEYS.values())) == 150
+    assert oracle.MEASURES == ALL_ADS_MEASURES and len(oracle.MEASURES) == 70
+    assert {c for _, c, _ in oracle.CATEGORY_NEEDLES} == {c for c, _ in google_ads.CATEGORY_RULES}
+    assert [b for b, _ in google_ads.BRAND_RULES] == list(dict.fromkeys(b for b, _ in oracle.BRANDS))
+    assert len({c for _, c, *_ in oracle.TRAFFIC_RULES}) == 10

@@ -54,13 +54,37 @@ def test_warehouse_path_roundtrip(spark, sf_small, tmp_path):
     assert a == b and sum(a.values()) > 0
 
 
-def test_cluster_conf_sizing():
-    from admart.session import cluster_conf
-    big = cluster_conf(100 * 2**40, 8000)
-    assert big["spark.sql.shuffle.partitions"] == str(102400)
-    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
-    assert big["spark.sql.adaptive.enabled"] == "true"
-    small = cluster_conf(10 << 20, 8)
-    assert small["spark.sql.shuffle.partitions"] == "16"
-    capped = cluster_conf(10 * 2**40, 100)
-    assert capped["spark.sql.shuffle.partitions"] == "2000"
+def test_fractions_are_rounded_after_the_sum(spark):
+    """Six ad-group rows with conversions 0.166667 and value 10.004 give 1.00 and 60.02."""
+    from pyspark.sql import functions as F
+
+    from admart.plans.google_ads import AD_GROUP_STATS, _daily
+    raw = spark.createDataFrame([(1, 2, "2024-01-01", 1000000, 10, 1, 0.166667, 10.004)] * 6,
+                                "campaign_id long, ad_group_id long, segments_date string, metrics_cost_micros long, "
+                                "metrics_impressions long, metrics_clicks long, metrics_conversions double, metrics_conversions_value double")
+    row = _daily(conform(raw, AD_GROUP_STATS), [F.col("campaign_id")]).collect()[0]
+    assert (row.conversions, row.metrics_conversions_value, row.spend) == (1.0, 60.02, 6.0)
+
+
+def test_fixture_money_has_fractions(spark, sf_small):
+    src = fixture_sources(spark, sf_small)["source_daily_google_ads_keywords"]
+    assert src.where("metrics_conversions != round(metrics_conversions, 2)").count() > 0
+    assert src.where("metrics_conversions_value != round(metrics_conversions_value, 2)").count() > 0
+    assert src.count() == spark.read.parquet(f"{sf_small}/lineitem.parquet").count()
+
+
+def test_views_sort_at_the_sink(spark):
+    from admart.sources import as_view
+    as_view(spark.createDataFrame([(1,), (3,), (2,)], "x int"), "admart_sorted_view", order_by=["x"])
+    assert [r.x for r in spark.table("admart_sorted_view").collect()] == [1, 2, 3]
+
+
+def test_building_a_model_runs_no_job(spark, sf_small):
+    from admart.config import FIXTURE_AS_OF
+    from admart.plans import combined
+    spark.sparkContext.setJobGroup("build-only", "plan building")
+    combined.all_ads_daily(fixture_sources(spark, sf_small), Config(as_of=FIXTURE_AS_OF))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # reading a table's footer for its schema is the only job a plan may start
+    assert len(jobs) <= 12
