@@ -34,11 +34,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of SimHash near-duplicates.
 
-    Of rows that share this doc_id one stays; rows without doc_id, which nothing can name, all stay.
+    Of repeated rows (same doc_id and text) one stays; rows without doc_id, which nothing can name, all stay.
     """
     found = near_duplicates(docs, shingle=3, radius=3)
     first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
 
 
