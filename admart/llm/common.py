@@ -1,20 +1,16 @@
-"""Helpers shared by the operators: words, Arrow batches, tables in the shared folder."""
+"""Helpers shared by the operators: memos, columns, tables in the shared folder."""
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word is a run of characters other than space and the control characters 9 to 13.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: The same class for Spark's regular expressions (Java).
-WORD_JVM = r"[^\x20\x09-\x0D]+"
+#: What parts words, in Spark's regular expressions: the space and the control characters 9 to 13. In tasks,
+#: bytes.split() parts UTF-8 text at exactly these.
 GAP_JVM = r"[\x20\x09-\x0D]+"
 
 
@@ -41,28 +37,11 @@ class Memo(dict):
         return value
 
 
-def words(text: str | None) -> list[str]:
-    """The words of a text, unchanged; none for null."""
-    return WORD.findall(text) if text else []
-
-
 def doc_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under fixed names and types."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str,
-                arrow: pa.Schema) -> DataFrame:
-    """Apply ``fn`` (lists in, lists out) to each Arrow batch inside Spark's tasks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(fn(batch.to_pydict()), schema=arrow)
-
-    return df.mapInArrow(run, schema)
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a scratch folder only where that is unset and
     everything runs in one JVM (tests)."""

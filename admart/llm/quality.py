@@ -53,11 +53,11 @@ RULES = (
 WINDOW = 5
 
 
-def _repeat_words() -> Column:
-    """Words in windows of five words that come twice or more in the text, from the columns words and grams.
+def _repeat_words() -> tuple[Column, Column]:
+    """(grams with their places, sorted; places of the windows that come twice or more).
 
     Windows are told apart by 64-bit hashes within one text. Sorted with their places, equal hashes are
-    neighbours; a repeated window covers its five words but for those the next repeated one covers.
+    neighbours. A repeated window covers its five words but for those the next repeated one covers.
     """
     pairs = F.sort_array(F.transform("grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     places = F.sort_array(F.transform(
