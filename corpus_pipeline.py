@@ -23,7 +23,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: null texts and texts without a letter go."""
     named = identify(docs, train(docs), keep=("text", "lang", "source", "n_chars"))
-    return named.where(F.col("lang_pred") != UNKNOWN).select(*COLUMNS)
+    return materialize(named.where(F.col("lang_pred") != UNKNOWN).select(*COLUMNS), "language")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +44,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words that windows of 13 repeat from earlier documents; emptied documents go."""
-    found = duplicate_spans(docs, window=13, keep=("text", "lang", "source", "n_chars"))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    found = duplicate_spans(docs, window=13, keep=("lang", "source", "n_chars"), unchanged=True)
     left = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
-    return left.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    return materialize(left.select("doc_id", F.col("kept").alias("text"), "lang", "source", n_chars.alias("n_chars")), "substrings")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
