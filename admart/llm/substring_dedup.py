@@ -17,7 +17,9 @@ of its own:
 4. A document's factors, run by run, are the spans to remove. Documents of equal words are settled before: all
    but the first are one factor.
 
-Hot anchors and passages are aggregated before they meet: a task holds the *different* runs of one anchor.
+Hot anchors and passages are aggregated before they meet: a task holds the *different* runs of one anchor. Where
+these are too many still (a line that a third of all documents hold, each with its own neighbours), the block is
+not built in a task; its phrases are looked up one by one, by aggregates and joins, with the same result.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 from .common import materialize, shuffle_partitions
 
 GRAM = 4
+#: A block of more runs than this, and than a SHARE-th of all runs, is factored phrase by phrase instead.
+BLOCK_RUNS, SHARE = 2000, 10_000
 #: Stands for a null doc_id, which counts as the greatest.
 LAST = (1 << 63) - 1
 _M1, _M2, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -73,14 +77,14 @@ def anchors(found: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
     return place + np.arange(n), g
 
 
-def runs_of(found: list[bytes], shared: np.ndarray, window: int) -> Iterator[tuple[int, int, int, bytes]]:
+def runs_of(found: list[bytes], shared: np.ndarray, window: int) -> Iterator[tuple[int, int, int, str]]:
     """(first window, windows, anchor, words) of each run of windows with one shared anchor occurrence."""
     place, g = anchors(found, window)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     ends = np.append(first[1:], len(place))
     wanted = np.isin(g[place[first]], shared)
     for s, e, a in zip(first[wanted].tolist(), ends[wanted].tolist(), g[place[first[wanted]]].view(np.int64).tolist()):
-        yield s, e - s, a, b" ".join(found[s:e + window - 1])
+        yield s, e - s, a, b" ".join(found[s:e + window - 1]).decode()
 
 
 class Block:
@@ -112,12 +116,36 @@ class Block:
         return new
 
 
+def hot_anchors(runs: DataFrame) -> DataFrame:
+    """Anchors of more than BLOCK_RUNS runs and more than a SHARE-th of all runs: below SHARE of them."""
+    most = max(BLOCK_RUNS, runs.count() // SHARE)
+    return runs.groupBy("anchor").count().where(F.col("count") > most).select("anchor")
+
+
+def factor_phrases(runs: DataFrame, window: int) -> DataFrame:
+    """What factor_blocks() finds, for blocks too large for a task: each phrase is looked up by itself.
+
+    The first document of each phrase is an aggregate; a run's phrase is new if the run's document is that
+    one. The join has the document among its keys, so a phrase in a third of all documents is no hot key.
+    """
+    distinct = runs.groupBy("anchor", "run").agg(F.min("d").alias("first"))
+    found = F.split("run", " ")
+    phrases = distinct.select("anchor", F.xxhash64("run").alias("run_hash"), "first", found.alias("w")).select(
+        "anchor", "run_hash", "first",
+        F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - window), lambda i: F.struct(
+            i.alias("i"), F.array_join(F.slice("w", i + 1, window), " ").alias("phrase")))).alias("p"),
+    ).select("anchor", "run_hash", "first", "p.i", "p.phrase")
+    firsts = phrases.groupBy("anchor", "phrase").agg(F.min("first").alias("first"))
+    new = phrases.join(firsts, ["anchor", "phrase", "first"])
+    return new.groupBy("anchor", "run_hash", "first").agg(F.expr("bit_or(shiftleft(1L, i))").alias("new"))
+
+
 def factor_blocks(runs: DataFrame, window: int) -> DataFrame:
     """(anchor, run_hash, first, new): of each different run, its first document and its new phrases."""
     spark = runs.sparkSession
     distinct = runs.groupBy("anchor", "run").agg(F.min("d").alias("first"))
     dealt = (distinct.repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor", "first", "run")
-             .select("anchor", "first", F.xxhash64("run").alias("run_hash"), "run"))
+             .select("anchor", "first", F.xxhash64("run").alias("run_hash"), F.col("run").cast("binary").alias("run")))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, now = None, None
@@ -134,9 +162,11 @@ def factor_blocks(runs: DataFrame, window: int) -> DataFrame:
     return dealt.mapInArrow(parse, "anchor long, run_hash long, first long, new long")
 
 
-def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+                    unchanged: bool = False) -> DataFrame:
     """Per row: doc_id, the columns of ``keep``, n_words, n_removed, spans array<struct<start, length>> (removed
-    words, from 0), kept (the other words, joined by one space).
+    words, from 0), kept (the other words, joined by one space; with ``unchanged`` the text as it is, null too,
+    where no word is removed).
 
     Null and empty texts have no words. A null doc_id counts as the greatest; rows of one doc_id don't remove
     each other's words, repeated rows get the same result. Texts below ``window`` words lose nothing.
@@ -169,14 +199,15 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
 
     base = materialize(rows.select("d", "tag", "_body").mapInArrow(survey, "d long, tag long, n_words long, digest binary, anchors array<long>"), "anchors")
 
-    # Documents of equal words: all but the first are settled, and the first stands for them.
-    firsts = base.groupBy("digest").agg(F.min("d").alias("first"))
+    # Documents of equal words: all but the first are settled, and the first stands for them. What a join
+    # hands back to all rows of a key is a table of its own, so that Spark can split a hot key's partition.
+    firsts = materialize(base.groupBy("digest").agg(F.min("d").alias("first")), "firsts")
     placed = materialize(base.select("d", "tag", "n_words", "digest").join(firsts, "digest").select("d", "tag", "n_words", "first"), "copies")
     copies = placed.where((F.col("d") > F.col("first")) & (F.col("n_words") >= window)).select("d", "tag").distinct()
     leading = placed.where(F.col("d") == F.col("first")).select("d").distinct()
 
     exploded = base.select("d", F.explode("anchors").alias("anchor"))
-    shared = exploded.groupBy("anchor").count().where("count > 1").select("anchor")
+    shared = materialize(exploded.groupBy("anchor").count().where("count > 1").select("anchor"), "shared-anchors")
     wanted = exploded.join(shared, "anchor", "left_semi").groupBy("d").agg(F.collect_list("anchor").alias("anchors")).join(leading, "d", "left_semi")
     wanted = materialize(wanted, "shared")
 
@@ -192,12 +223,14 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
                         out.extend((d, tag, *x) for x in runs_of(found, known, window))
                 if out:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, type=t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
+                        [pa.array(c, type=t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string()))],
                         names=["d", "tag", "start", "phrases", "anchor", "run"])
 
     runs = materialize(rows.select("d", "tag", "_body").join(wanted, "d").select("d", "tag", "_body", "anchors")
-                       .mapInArrow(cut_runs, "d long, tag long, start int, phrases int, anchor long, run binary"), "runs")
-    parsed = factor_blocks(runs, window)
+                       .mapInArrow(cut_runs, "d long, tag long, start int, phrases int, anchor long, run string"), "runs")
+    hot = F.broadcast(hot_anchors(runs))  # at most SHARE rows
+    parsed = materialize(factor_blocks(runs.join(hot, "anchor", "left_anti"), window)
+                         .unionByName(factor_phrases(runs.join(hot, "anchor", "left_semi"), window)), "parsed")
     # A run of a document that isn't its first one is a factor as a whole; else its new phrases stay.
     judged = (runs.select("d", "tag", "start", "phrases", "anchor", F.xxhash64("run").alias("run_hash"))
               .join(parsed.withColumnRenamed("first", "d"), ["anchor", "run_hash", "d"], "left")
@@ -222,7 +255,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
                     if not cut:
                         gone.append(0)
                         spans.append([])
-                        kept.append(b" ".join(found).decode())
+                        kept.append(body.as_py() if unchanged else b" ".join(found).decode())
                         continue
                     covered = np.zeros(len(found) + 1, dtype=np.int32)  # starts less ends of removed windows
                     for c in cut:

@@ -78,6 +78,20 @@ def test_op1_overlapping_passages(make_docs, seed):
         assert sum(s.length for s in r.spans) == r.n_removed
 
 
+@pytest.mark.parametrize("runs", [0, 3, 30])
+def test_op1_hot_blocks(make_docs, monkeypatch, runs):
+    """Blocks dealt phrase by phrase give the same spans."""
+    monkeypatch.setattr("admart.llm.substring_dedup.BLOCK_RUNS", runs)
+    monkeypatch.setattr("admart.llm.substring_dedup.SHARE", 10**9)
+    rng = random.Random(9)
+    line = [f"line{i}" for i in range(17)]
+    rows = []
+    for d in rng.sample(range(500), 120):
+        w = lambda n: [rng.choice("pqrst") + str(rng.randrange(3)) for _ in range(n)]
+        rows.append((d, " ".join(w(rng.randint(0, 9)) + line[rng.randrange(3):] + w(rng.randint(0, 9)) + line[:rng.randrange(17)])))
+    assert got_spans(duplicate_spans(make_docs(rows))) == brute_spans(rows)
+
+
 def test_op1_query(spark, sf_small):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
     got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in queries.op1_substring_dedup(spark, sf_small).collect())
