@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 #: What parts words, in Spark's regular expressions: the space and the control characters 9 to 13. In tasks,
 #: bytes.split() parts UTF-8 text at exactly these.
 GAP_JVM = r"[\x20\x09-\x0D]+"
+#: Rows of an Arrow batch while a step is written.
+BATCH = 2000
 
 
 class Memo(dict):
@@ -37,6 +40,19 @@ class Memo(dict):
         return value
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable):
+    """This Python worker's ``make()`` of ``key``, kept from task to task; one at a time, so that a worker that
+    serves several operators doesn't hold the models and memos of all."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def doc_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under fixed names and types."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -66,15 +82,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     The table survives lost executors and cuts the lineage. Shuffle files of the finished write are
     released at once (a retry of a lost stage regenerates them), so a job of several steps holds the
-    shuffles of one step at a time.
+    shuffles of one step at a time. Texts go to Python ``BATCH`` rows at a time meanwhile.
     """
-    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    path, before = new_folder(spark, name), spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

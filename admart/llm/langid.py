@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo
+from .common import Memo, kept
 
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -25,7 +25,7 @@ EDGE = "\n"
 UNKNOWN = "und"
 #: Bits of a language's phrase count in a text's packed counts.
 SLOT = 40
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 100_000
 MEMO_CHARS = 64
 
 
@@ -106,18 +106,12 @@ class Parser:
         return self.langs[order[0]], 1.0 - cost[order[0]] / cost[order[1]]
 
 
-_PARSERS: dict[str, Parser] = {}
-
-
 def parser_for(key: str, shared) -> Parser:
-    """This worker's parser of the broadcast model; kept from task to task."""
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(shared.value)
-    return _PARSERS[key]
+    """This worker's parser of the broadcast model."""
+    return kept(("language", key), lambda: Parser(shared.value))
 
 
-def train(docs: DataFrame, per_language: int = 200, words: int = 200_000, chars: int = 60_000, languages: int = 32,
+def train(docs: DataFrame, per_language: int = 200, words: int = 200_000, chars: int = 30_000, languages: int = 32,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
     """The labelled text of each language, from a bounded sample.
 
@@ -153,17 +147,20 @@ def identify(docs: DataFrame, model: dict[str, str], id_col: str = "doc_id", tex
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = hashlib.sha256(repr(sorted(model.items())).encode()).hexdigest()
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, F.col(text_col).cast("string").alias("_body"))
+    given = text_col in keep  # then the text goes to Python once, as a column to carry along
+    body = [] if given else [F.col(text_col).cast("string").alias("_body")]
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, *body)
+    place = picked.columns.index(text_col if given else "_body")
     fields = [f for f in picked.schema.fields if f.name != "_body"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = parser_for(key, shared)
         for batch in batches:
-            made = [parser.predict(t.as_py()) for t in batch.column(batch.num_columns - 1)]
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+            made = [parser.predict(t.as_py()) for t in batch.column(place)]
+            n = len(fields)
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([m[0] for m in made], type=pa.string()), pa.array([m[1] for m in made], type=pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"])
+                [*batch.columns[:n], pa.array([m[0] for m in made], type=pa.string()), pa.array([m[1] for m in made], type=pa.float64())],
+                names=[*batch.schema.names[:n], "lang_pred", "score"])
 
     return picked.mapInArrow(run, schema)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Memo, doc_columns
+from .common import Memo, doc_columns, kept
 
 MARK = "▁"
 #: Half the entries of a worker's memo (about 200 bytes each), and all of its table of piece pairs, which then
@@ -34,8 +34,6 @@ PAIR_ENTRIES = 400_000
 #: Longer pre-tokens are encoded each time.
 MEMO_CHARS = 64
 
-_MODELS: dict[str, "Model"] = {}
-_ENCODERS: dict[str, "PieceEncoder"] = {}
 
 
 class Model:
@@ -79,17 +77,15 @@ class Model:
 
 
 def load(path: str) -> Model:
-    """This worker's model; kept from task to task."""
-    if path not in _MODELS:
-        _MODELS[path] = Model(path)
-    return _MODELS[path]
+    """This worker's model."""
+    return kept(("model", path), lambda: Model(path))
 
 
 class PieceEncoder:
     def __init__(self, path: str):
         import ahocorasick
 
-        self.model = load(path)
+        self.model = Model(path)
         self.ids = self.model.ids
         self.score = {p: self.model.library.get_score(i) for p, i in self.ids.items()}
         self.bytes = [self.model.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
@@ -165,9 +161,8 @@ class PieceEncoder:
 
 
 def piece_encoder(path: str) -> PieceEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    """This worker's encoder for the model."""
+    return kept(("pieces", path), lambda: PieceEncoder(path))
 
 
 def encode_decode(docs: DataFrame, model_path: str, rows: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

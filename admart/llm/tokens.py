@@ -18,7 +18,7 @@ from array import array
 
 from tokenizers.pre_tokenizers import ByteLevel
 
-from .common import Memo
+from .common import Memo, kept
 
 #: Python's white space holds all that the tokenizers' own patterns take as white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -34,9 +34,6 @@ MEMO_ENTRIES = 300_000
 #: Longer pre-tokens are encoded each time.
 MEMO_CHARS = 64
 
-_ENCODERS: dict[tuple, "WordMemo"] = {}
-
-
 def latin(text: str) -> bool:
     try:
         text.encode("latin-1")
@@ -121,7 +118,5 @@ def id_width(path: str) -> int:
 
 
 def encoder(path: str, width: int) -> WordMemo:
-    """This worker's encoder for the file; kept from task to task."""
-    if (path, width) not in _ENCODERS:
-        _ENCODERS[path, width] = WordMemo(path, width)
-    return _ENCODERS[path, width]
+    """This worker's encoder for the file."""
+    return kept(("tokens", path, width), lambda: WordMemo(path, width))
