@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -197,6 +198,17 @@ def test_suffix_automaton_phrases():
             assert sam.phrases([ord(c) for c in q]) == count, (text, q)
 
 
+def test_op6_default_sample_fills_60000_characters(make_docs):
+    """The default bound is 60,000 characters a language, and an automaton of that much text stays small."""
+    rng = random.Random(11)
+    rows = [(i, " ".join("".join(rng.choices("etaoinshrd", k=9)) for _ in range(400)), "en") for i in range(1, 40)]
+    text = train(make_docs(rows))["en"]
+    assert 59_000 < len(text) <= 60_010
+    made = SuffixAutomaton(text)
+    assert all(x in text and made.parse(x) == 1 for x in ("\n" + w + "\n" for w in text.split("\n")[1:200]))
+    assert sum(map(sys.getsizeof, vars(made).values())) < 40 * len(text)
+
+
 def test_op6_held_out_accuracy(spark):
     truth = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     rows = queries.op6_language_id(spark, "/root/testdata/sf0.01").collect()
