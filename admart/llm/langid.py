@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from itertools import accumulate, chain
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Memo, kept
@@ -118,32 +118,31 @@ def parser_for(key: str, shared) -> Parser:
     return kept(("language", key), lambda: Parser(shared.value))
 
 
-def train(docs: DataFrame, per_language: int = 200, words: int = 200_000, chars: int = 60_000, languages: int = 32,
+def train(docs: DataFrame, per_language: int = 200, chars: int = 60_000,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
     """The labelled text of each language, from a bounded sample.
 
-    Of the rows that are not held out and have a doc_id, a text and a label, about ``per_language`` documents
-    of each of the ``languages`` most frequent labels, chosen by a hash of doc_id, give at most ``words``
-    distinct words to the driver; of each language's, the most frequent ones make up ``chars`` characters.
+    Of the rows that are not held out and have a doc_id, a text and a label, about ``per_language`` doc_ids of each
+    label, chosen by a hash, give the words; of each language's, the most frequent ones make up ``chars`` characters
+    (longer words are cut to that). Every label with a word is learned: all bounds are for each language by itself.
     """
     rows = docs.where(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
-    if not sizes:
-        return {}
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
+    sizes = rows.groupBy("lang").agg(F.count_distinct("doc_id").alias("n"))
     chance = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.where(chance < share[F.col("lang")])
+    sample = rows.join(F.broadcast(sizes), "lang").where(chance < F.lit(per_language) / F.col("n"))
     letters = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))
-    seen = (sample.select("lang", F.explode(letters).alias("word")).groupBy("lang", "word").count()
-            .orderBy(F.desc("count"), "lang", "word").limit(words).collect())
-    model = {k: [] for k in sizes}
-    room = dict.fromkeys(sizes, chars)
-    for r in seen:
-        if room[r["lang"]] > len(r["word"]):
-            model[r["lang"]].append(r["word"])
+    counts = sample.select("lang", F.explode(letters).alias("word")).groupBy("lang", F.left("word", F.lit(chars - 1)).alias("word")).count()
+    # A word takes two characters at least, so more words than half of ``chars`` never fit.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
+    seen = counts.withColumn("place", place).where(F.col("place") <= max(1, chars // 2)).collect()
+    model: dict[str, list[str]] = {}
+    room: dict[str, int] = {}
+    for r in sorted(seen, key=lambda r: (r["lang"], r["place"])):
+        if room.setdefault(r["lang"], chars) > len(r["word"]):
+            model.setdefault(r["lang"], []).append(r["word"])
             room[r["lang"]] -= len(r["word"]) + 1
-    return {k: EDGE + EDGE.join(v) + EDGE for k, v in model.items() if v}
+    return {k: EDGE + EDGE.join(v) + EDGE for k, v in model.items()}
 
 
 def identify(docs: DataFrame, model: dict[str, str], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

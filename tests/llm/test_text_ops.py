@@ -209,6 +209,19 @@ def test_op6_default_sample_fills_60000_characters(make_docs):
     assert sum(map(sys.getsizeof, vars(made).values())) < 40 * len(text)
 
 
+def test_op6_learns_every_label(make_docs):
+    """Neither many labels nor the many words of other labels take a label away."""
+    rng = random.Random(12)
+    word = lambda k: "".join(rng.choices(k, k=8))
+    rows = [(1 + i, (" ".join({word("abcdefgh") for _ in range(16_000)}) + " ") * 2, f"l{i:02d}") for i in range(14)]
+    rows += [(100 + 10 * i + j, "x" * (i + 2) + " y" * 5, f"m{i:02d}") for i in range(30) for j in range(6)]
+    rows += [(900 + i, " ".join(word("pqrs") for _ in range(3)), "zz") for i in range(5)] + [(950 + i, "z" * 70_000, "zzz") for i in range(5)]
+    model = train(make_docs(rows))
+    learned = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
+    assert set(model) == learned and {"zz", "zzz"} <= learned and len(learned) > 40
+    assert all(len(t) <= 60_010 for t in model.values())
+
+
 def test_op6_held_out_accuracy(spark):
     truth = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     rows = queries.op6_language_id(spark, "/root/testdata/sf0.01").collect()
