@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_columns, materialize, shuffle_partitions
+from .common import materialize, shuffle_partitions
 from .components import connected_components
 
 SEED = 42  # of XXH64; fixed value
@@ -51,16 +51,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long: the fingerprint's bits as a signed long)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, the columns of ``keep``, fp long: the fingerprint's bits as a signed long)."""
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, F.col(text_col).cast("string").alias("_body"))
+    fields = picked.schema.fields[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], schema=schema)
+            made = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(len(fields))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made.view(np.int64))], names=[*batch.schema.names[:-1], "fp"])
 
-    return doc_columns(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return picked.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", fp long")
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -227,16 +228,18 @@ def _joined(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray
     return t, key, fp.view(np.uint64)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, fp (signed long), component_id, the smallest doc_id reachable over links.
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, the columns of ``keep``, fp (signed long), component_id, the smallest doc_id reachable
+    over links, root, the smallest fingerprint reachable, which names the component also without doc_ids.
 
     Texts without words, null ones too, have fingerprint 0 and link as any other. Null doc_ids stay null and
     never are a component_id unless a component has no other. Repeated rows come as often as they stand.
     """
-    made = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    made = materialize(fingerprints(docs, shingle, id_col, text_col, keep), "fingerprints")
     distinct = materialize(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = connected_components(links(distinct.select("fp"), radius))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(distinct["fp"], "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(rooted.join(least, "root").select("fp", "component_id"), "classes")
-    return made.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = materialize(rooted.join(least, "root").select("fp", "component_id", "root"), "classes")
+    return made.join(named, "fp").select("doc_id", *keep, "fp", "component_id", "root")

@@ -34,12 +34,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of SimHash near-duplicates.
 
-    Of repeated rows (same doc_id and text) one stays; rows without doc_id, which nothing can name, all stay.
+    Documents stand by doc_id and text: where a group holds several texts of its smallest doc_id, the one with the
+    least hash stays, and a doc_id that stands for texts of several groups is judged in each. Of the rows without
+    doc_id, which no named row replaces, one of each group stays. Of repeated rows (same doc_id and text) one stays.
     """
-    found = near_duplicates(docs, shingle=3, radius=3)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
+    content = [F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"]
+    tagged = docs.select(*COLUMNS, F.xxhash64(*content).alias("tag"), F.xxhash64(F.lit("second"), *content).alias("tag2"))
+    found = near_duplicates(tagged, shingle=3, radius=3, keep=("tag", "tag2"))
+    chosen = (found.groupBy("root", F.col("doc_id").isNull().alias("unnamed"))
+              .agg(F.min(F.struct("doc_id", "tag", "tag2")).alias("one")).select("one.tag", "one.tag2"))
+    # Repeated rows go before texts are dealt, by the key of the join, so texts are dealt once.
+    return tagged.dropDuplicates(["tag", "tag2"]).join(chosen, ["tag", "tag2"], "left_semi").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """The pipeline against brute-force versions of its stages, and what every stage promises."""
 
+import random
 import re
 
 import corpus_pipeline
@@ -79,6 +80,19 @@ def test_near_dedup_keeps_one_of_each_group(spark, make_docs):
     assert rows_of(left) == sorted([(False, 3, text), (True, 0, text), (False, 11, "other words entirely here"), (False, 12, None)], key=str)
 
 
+def test_near_dedup_keeps_one_of_each_group_where_ids_repeat_or_lack(spark, make_docs):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(40)) for _ in range(5)]
+    copy = [t.upper() for t in texts]  # another text of the same fingerprint
+    rows = [(5, texts[0]), (1, texts[1]), (5, copy[1]),  # 5 is the first of its own group and a copy of 1
+            (7, texts[2]), (7, copy[2]), (7, copy[2]), (8, texts[2]),  # two texts of one group under one id
+            (None, texts[3]), (None, copy[3]), (None, texts[3]), (9, texts[4])]
+    left = rows_of(corpus_pipeline.near_dedup(spark, make_docs(rows), ""))
+    assert len(left) == len({(no, d, t.lower()) for no, d, t in left}) == 5
+    assert [x for x in left if x[1] in (1, 5, 9)] == sorted([(False, 5, texts[0]), (False, 1, texts[1]), (False, 9, texts[4])], key=str)
+    assert {(no, d, t.lower()) for no, d, t in left} >= {(False, 7, texts[2]), (True, 0, texts[3])}
+
+
 def test_packed_ids_are_the_documents_ids(spark, make_docs, hard_rows):
     from admart.llm.packing import pack
     rows = [(d, t) for d, t in hard_rows if d is not None]
