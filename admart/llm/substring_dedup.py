@@ -205,11 +205,13 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
     firsts = materialize(base.groupBy("digest").agg(F.min("d").alias("first")), "firsts")
     placed = materialize(base.select("d", "tag", "n_words", "digest").join(firsts, "digest").select("d", "tag", "n_words", "first"), "copies")
     copies = placed.where((F.col("d") > F.col("first")) & (F.col("n_words") >= window)).select("d", "tag").distinct()
-    leading = placed.where(F.col("d") == F.col("first")).select("d").distinct()
+    leading = placed.where(F.col("d") == F.col("first")).select("d", "tag").distinct()
 
-    exploded = base.select("d", F.explode("anchors").alias("anchor"))
+    # Texts stand by (d, tag): a list holds what one text has, however many rows share its doc_id or repeat it.
+    exploded = base.select("d", "tag", F.explode("anchors").alias("anchor"))
     shared = materialize(exploded.groupBy("anchor").count().where("count > 1").select("anchor"), "shared-anchors")
-    wanted = exploded.join(shared, "anchor", "left_semi").groupBy("d").agg(F.collect_list("anchor").alias("anchors")).join(leading, "d", "left_semi")
+    wanted = exploded.join(shared, "anchor", "left_semi").groupBy("d", "tag").agg(F.collect_set("anchor").alias("anchors"))
+    wanted = wanted.join(leading, ["d", "tag"], "left_semi")
     wanted = materialize(wanted, "shared")
 
     def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +229,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
                         [pa.array(c, type=t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string()))],
                         names=["d", "tag", "start", "phrases", "anchor", "run"])
 
-    runs = materialize(rows.select("d", "tag", "_body").join(wanted, "d").select("d", "tag", "_body", "anchors")
+    runs = materialize(rows.select("d", "tag", "_body").join(wanted, ["d", "tag"]).select("d", "tag", "_body", "anchors")
                        .mapInArrow(cut_runs, "d long, tag long, start int, phrases int, anchor long, run string"), "runs")
     hot = F.broadcast(hot_anchors(runs))  # at most SHARE rows
     parsed = materialize(factor_blocks(runs.join(hot, "anchor", "left_anti"), window)
@@ -238,7 +240,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
               .select("d", "tag", "start", "phrases", F.coalesce("new", F.lit(0).cast("long")).alias("new"))
               .where(F.col("new") != F.expr("shiftleft(1L, phrases) - 1")))
     whole = copies.select("d", "tag", F.lit(-1).alias("start"), F.lit(0).alias("phrases"), F.lit(0).cast("long").alias("new"))
-    cuts = judged.unionByName(whole).groupBy("d", "tag").agg(F.collect_list(F.struct("start", "phrases", "new")).alias("cuts"))
+    cuts = judged.unionByName(whole).groupBy("d", "tag").agg(F.collect_set(F.struct("start", "phrases", "new")).alias("cuts"))
     cuts = materialize(cuts, "factors").withColumnsRenamed({"d": "cut_d", "tag": "cut_tag"})
 
     out_fields = [f for f in rows.schema.fields if f.name not in ("d", "tag", "_body")]

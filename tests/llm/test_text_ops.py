@@ -12,7 +12,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
-from admart.llm import queries
+from admart.llm import queries, substring_dedup
 from admart.llm.chat import format_chats
 from admart.llm.components import connected_components
 from admart.llm.langid import SuffixAutomaton, identify, train
@@ -93,6 +93,22 @@ def test_op1_hot_blocks(make_docs, monkeypatch, runs):
     assert got_spans(duplicate_spans(make_docs(rows))) == brute_spans(rows)
 
 
+def test_op1_lists_hold_one_text(make_docs, monkeypatch):
+    """Rows of one doc_id, of none, and repeated rows don't gather each other's anchors or cuts."""
+    written, materialize = {}, substring_dedup.materialize
+    monkeypatch.setattr(substring_dedup, "materialize", lambda df, name: written.setdefault(name, materialize(df, name)))
+    rng = random.Random(13)
+    w = lambda n: ["w" + str(rng.randrange(10**6)) for _ in range(n)]
+    passages = [w(20) for _ in range(40)]
+    rows = [(1, " ".join(w(3) + p + w(3))) for p in passages]
+    rows += [(d, " ".join(w(4) + rng.choice(passages) + w(4))) for d in [None, 2] for _ in range(40)]
+    rows += [(None, rows[50][1])] * 30 + [(3, " ".join(w(4) + passages[0] + w(4)))] * 30
+    assert got_spans(duplicate_spans(make_docs(rows))) == brute_spans(rows)
+    assert written["shared"].selectExpr("max(size(anchors))").first()[0] <= 28 - 12
+    assert written["factors"].selectExpr("max(size(cuts))").first()[0] <= 28 - 12
+    assert written["shared"].count() == written["shared"].select("d", "tag").distinct().count() <= len(set(rows))
+
+
 def test_op1_query(spark, sf_small):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
     got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in queries.op1_substring_dedup(spark, sf_small).collect())
