@@ -31,6 +31,14 @@ MEMO_ENTRIES = 100_000
 MEMO_CHARS = 64
 
 
+def letter_words(text: str) -> list[str]:
+    """Runs of letters (category L, as \\p{L} in train()); LETTERS also matches number signs such as ½, ² and Ⅷ."""
+    found = LETTERS.findall(text)
+    if found and not "".join(found).isalpha():
+        found = [x for word in found for x in "".join(c if c.isalpha() else " " for c in word).split()]
+    return found
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
@@ -101,7 +109,7 @@ class Parser:
         return sum(a.parse(text) << SLOT * k for k, a in enumerate(self.automata))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = LETTERS.findall(text.lower()) if text else []
+        found = letter_words(text.lower()) if text else []
         if not found or not self.langs:
             return UNKNOWN, 0.0
         packed = sum(map(self.memo.__getitem__, found))

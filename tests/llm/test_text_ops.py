@@ -5,6 +5,7 @@ import math
 import random
 import re
 import sys
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ import xxhash
 from admart.llm import queries, substring_dedup
 from admart.llm.chat import format_chats
 from admart.llm.components import connected_components
-from admart.llm.langid import SuffixAutomaton, identify, train
+from admart.llm.langid import SuffixAutomaton, identify, letter_words, train
 from admart.llm.oracle import ORACLE_SQL
 from admart.llm.quality import STOP_WORDS, quality_verdicts
 from admart.llm.simhash import edges_of_bucket, edges_side_by_side, links, near_duplicates
@@ -238,6 +239,14 @@ def test_op6_learns_every_label(make_docs):
     assert all(len(t) <= 60_010 for t in model.values())
 
 
+def test_op6_number_signs_are_no_letters(make_docs):
+    assert all((letter_words(c) == [c]) == (unicodedata.category(c)[0] == "L") for c in map(chr, range(sys.maxunicode + 1)))
+    assert letter_words("ab½c ⅧⅨ dé²") == ["ab", "c", "dé"]
+    docs = make_docs([(1, "½ ² ① Ⅷ 5"), (2, "½a"), (3, "ª日")])
+    got = {r.doc_id: r.lang_pred for r in identify(docs, {"en": "\na\n"}).collect()}
+    assert got == {1: "und", 2: "en", 3: "en"}
+
+
 def test_op6_held_out_accuracy(spark):
     truth = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     rows = queries.op6_language_id(spark, "/root/testdata/sf0.01").collect()
