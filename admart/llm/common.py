@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import pickle
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -97,5 +98,34 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that no later step reads."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def gather(df: DataFrame, fold: Callable, merge: Callable, fan: int = 16):
+    """One value from all rows: ``fold`` makes one of each partition's Arrow batches (or None), ``merge`` one of a
+    list of those. Merged in ``fan`` tasks first, so at most ``fan`` values reach the driver. None without rows."""
+    import pyarrow as pa
+
+    def carry(value) -> list:
+        return [] if value is None else [pa.RecordBatch.from_arrays([pa.array([pickle.dumps(value)], pa.binary())], ["value"])]
+
+    def first(batches):
+        yield from carry(fold(batches))
+
+    def second(batches):
+        found = [pickle.loads(v.as_py()) for b in batches for v in b.column(0)]
+        yield from carry(merge(found) if found else None)
+
+    rows = df.mapInArrow(first, "value binary").repartition(fan).mapInArrow(second, "value binary").collect()
+    found = [pickle.loads(r["value"]) for r in rows]
+    return merge(found) if found else None

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from .chat import format_chats
 from .langid import held_out, identify, train
+from .merkle import joined_hex, manifest
 from .packing import pack
 from .pieces import encode_decode
 from .quality import quality_verdicts
+from .quality_pu import score_quality
 from .records import token_records
 from .simhash import near_duplicates
 from .substring_dedup import duplicate_spans
 from .token_counts import token_counts
 from .topk import top_k
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +80,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, lower)
+    made = manifest(table(spark, sf_dir, "documents"), probe=("text", tampered))
+    return made.select("doc_id", *[F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")],
+                       F.sha2(joined_hex(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+                       F.lower(F.hex("folded_root")).alias("folded_root"), "verified")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=16, scale=64.0, offset=1_000_000)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -88,4 +108,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_packing": op10_packing,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
