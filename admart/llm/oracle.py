@@ -6,6 +6,16 @@ from .quality import STOP_WORDS
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
+
+
+def _record(text: str) -> str:
+    """SHA-256 of a document's fields, each with its length before it."""
+    field = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE octet_length(encode({x}::VARCHAR)) || ':' || {x}::VARCHAR END"
+    return "sha256(" + " || ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL = {
     "op1_substring_dedup": r"""
         WITH d AS (
@@ -72,4 +82,48 @@ ORACLE_SQL = {
           FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
         FROM s QUALIFY rank <= 20""",
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE c AS (
+          SELECT *, xor(list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                   lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                     lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) AS crc
+          FROM documents),
+        h AS (
+          SELECT doc_id, lang, {_record("text")} AS leaf,
+                 CASE WHEN crc % 3 = 0 THEN {_record(_LOWER)} END AS other
+          FROM c),
+        d AS (
+          SELECT doc_id, leaf, other, dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree,
+                 row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+          FROM h),
+        up AS (
+          SELECT 0 AS level, tree, pos, leaf AS hash FROM d
+          UNION ALL
+          SELECT any_value(level) + 1, tree, pos // 8, sha256(string_agg(hash, '' ORDER BY pos))
+          FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM up) WHERE n > 1 GROUP BY tree, pos // 8),
+        sub AS (SELECT tree, max(level) AS height, arg_max(hash, level) AS subroot FROM up GROUP BY tree),
+        top AS (
+          SELECT 0 AS level, tree AS pos, subroot AS hash FROM sub
+          UNION ALL
+          SELECT any_value(level) + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos))
+          FROM (SELECT *, count(*) OVER () AS n FROM top) WHERE n > 1 GROUP BY pos // 8),
+        root AS (SELECT max(level) AS height, arg_max(hash, level) AS root FROM top),
+        run AS (
+          SELECT level, tree, pos // 8 AS up, list(hash ORDER BY pos) AS hs FROM up GROUP BY level, tree, pos // 8
+          UNION ALL SELECT level, -1, pos // 8, list(hash ORDER BY pos) FROM top GROUP BY level, pos // 8),
+        way AS (
+          SELECT tree, pos, unnest(range(height)) AS level, tree AS in_tree, pos AS place, 0 AS upper FROM d JOIN sub USING (tree)
+          UNION ALL SELECT tree, pos, unnest(range(height)), -1, tree, 1 FROM d, root),
+        step AS (
+          SELECT w.tree, w.pos, w.upper, w.level,
+                 array_to_string(list_concat(hs[:i], ['*'], hs[i + 2:]), '') AS s
+          FROM (SELECT *, (place // (8 ** level)::BIGINT) % 8 AS i, place // (8 ** (level + 1))::BIGINT AS up FROM way) w
+          JOIN run ON run.tree = w.in_tree AND run.level = w.level AND run.up = w.up),
+        steps AS (SELECT tree, pos, list(s ORDER BY upper, level) AS ss FROM step GROUP BY tree, pos),
+        made AS (
+          SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(coalesce(ss, []), ''), '*', '')) AS proof_sha256,
+                 list_reduce(list_prepend(coalesce(other, leaf), coalesce(ss, [])), lambda cur, s: sha256(replace(s, '*', cur))) AS folded_root
+          FROM d JOIN sub USING (tree) LEFT JOIN steps USING (tree, pos), root)
+        SELECT *, folded_root = root AS verified FROM made""",
 }

@@ -5,8 +5,8 @@ text good is that of the unlabelled text less the positives' part in it. Trainin
 
     prior * E_pos[loss(f)] + max(0, E_all[loss(-f)] - prior * E_pos[loss(-f)]),
 
-f linear and loss logistic. With this loss both arms of the maximum are convex, so damped Newton steps find the
-minimum. The prior is estimated from the data: a classifier of positives against unlabelled text gives scores, and
+f linear and loss logistic. With this loss both arms of the maximum are convex, so Newton steps find the minimum of
+each mixture of them, and one mixture has the minimum of the maximum. The prior is estimated from the data: a classifier of positives against unlabelled text gives scores, and
 the least ratio of the unlabelled share to the positive share above a score, over all scores, bounds it.
 
 A text becomes one small byte per ratio (which of fixed cuts it exceeds). Equal byte strings are counted, and every
@@ -43,6 +43,8 @@ LOWER, UPPER, DIGIT, SYMBOL, BAR, CALL, POINT, MARK, GAP = range(9)
 SLICE = 1 << 20
 RIDGE = 1e-3
 STEPS = 40
+#: How near to zero the clamped part of the risk is brought.
+TOUCH = 1e-4
 BINS = 2000
 
 
@@ -123,37 +125,51 @@ def sums_of(counts: DataFrame, w: np.ndarray):
     return gather(counts, fold, lambda parts: [sum(x) for x in zip(*parts)])
 
 
-def risk(s: list, w: np.ndarray, prior: float):
-    """The non-negative risk at w with its slope and curvature, and whether the clamp holds."""
+def risk(s: list, w: np.ndarray, prior: float, share: float = 1.0):
+    """``prior`` * E_pos[loss(f)] + ``share`` * bad with slope and curvature, and bad itself, the estimated risk of calling
+    bad text good: E_all[loss(-f)] - ``prior`` * E_pos[loss(-f)]."""
     n, pos = s[0], s[1]
-    missed, bad = prior * s[3] / pos, s[2] / n - prior * s[4] / pos
+    bad = s[2] / n - prior * s[4] / pos
     ridge = np.full(len(w), RIDGE)
     ridge[-1] = 1e-9
-    value, slope = missed, -prior * (s[7] - s[6]) / pos
-    bend = prior * s[9] / pos
-    if bad >= 0:
-        value, slope = value + bad, slope + s[5] / n - prior * s[6] / pos
-        bend = s[8] / n  # the positives' curvatures cancel
-    return value + 0.5 * (ridge * w) @ w, slope + ridge * w, bend + np.diag(ridge), bad < 0
+    value = prior * s[3] / pos + share * bad + 0.5 * (ridge * w) @ w
+    slope = prior * (s[6] - s[7]) / pos + share * (s[5] / n - prior * s[6] / pos) + ridge * w
+    bend = (1 - share) * prior * s[9] / pos + share * s[8] / n + np.diag(ridge)
+    return value, slope, bend, bad
 
 
-def fit(counts: DataFrame, prior: float) -> np.ndarray:
-    """Weights of least non-negative risk, by Newton steps that are halved until the risk falls."""
-    w = np.zeros(WIDTH)
-    value, slope, bend, _ = risk(sums_of(counts, w), w, prior)
+def least(counts: DataFrame, w: np.ndarray, prior: float, share: float) -> tuple[np.ndarray, float]:
+    """Weights of least risk() and their bad, by Newton steps that are cut until the risk falls."""
+    value, slope, bend, bad = risk(sums_of(counts, w), w, prior, share)
     for _ in range(STEPS):
         step, size = np.linalg.solve(bend + 1e-9 * np.eye(WIDTH), slope), 1.0
+        if slope @ step < 1e-9:
+            break
         while size > 1e-3:
-            made = risk(sums_of(counts, w - size * step), w - size * step, prior)
+            made = risk(sums_of(counts, w - size * step), w - size * step, prior, share)
             if made[0] < value:
                 break
             size /= 4
         else:
-            return w  # no step lowers it: the minimum, or the edge where the clamp starts to hold
-        w, fell = w - size * step, value - made[0]
-        value, slope, bend, _ = made
-        if fell < 1e-9:
-            return w
+            break
+        w, (value, slope, bend, bad) = w - size * step, made
+    return w, bad
+
+
+def fit(counts: DataFrame, prior: float) -> np.ndarray:
+    """Weights of least non-negative risk.
+
+    Where the estimate of bad is not negative at the plain minimum, that is it. Else the clamp holds, and the
+    minimum lies where bad is zero: there the two arms weigh in with a share of bad between 0 and 1, found by halving.
+    """
+    w, bad = least(counts, np.zeros(WIDTH), prior, 1.0)
+    low, high = 0.0, 1.0
+    if bad >= -TOUCH:
+        return w
+    while high - low > 1e-5 and abs(bad) > TOUCH:
+        share = (low + high) / 2
+        w, bad = least(counts, w, prior, share)
+        low, high = (low, share) if bad < 0 else (share, high)
     return w
 
 
@@ -198,7 +214,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id
     counts = materialize(known.groupBy("levels").agg(F.count(F.lit(1)).alias("n"), F.count("trusted_id").alias("n_pos")), "counts")
     w, learned = np.zeros(WIDTH), counts.agg(F.sum("n_pos")).first()[0]
     if learned:
-        # Against an equal mixture the same risk, unclamped at these weights, parts positives from unlabelled text.
+        # At a prior of one half the same risk parts positives from unlabelled text.
         w = fit(counts, estimate_prior(counts, fit(counts, 0.5)))
     release(counts)
     shared = docs.sparkSession.sparkContext.broadcast(w)
