@@ -50,6 +50,8 @@ def last_value(value: Column | str, order: Column | str) -> Column:
     The max of a struct is a sort aggregate; use it on rows that a hash aggregate made few, as
     ``last_state`` does, not on a source.
     """
+    if isinstance(value, str) and isinstance(order, str):
+        return F.expr(f"max(struct(`{order}` AS o, `{value}` AS v)).v")
     value = F.col(value) if isinstance(value, str) else value
     order = F.col(order) if isinstance(order, str) else order
     return F.max(F.struct(order.alias("o"), value.alias("v")))["v"]
@@ -57,24 +59,28 @@ def last_value(value: Column | str, order: Column | str) -> Column:
 
 def last_state(df: DataFrame, keys: Mapping[str, str] | Sequence[str], cols: Mapping[str, str | Column],
                order: str, greatest: Mapping[str, str | Column] | None = None,
-               first: Mapping[str, Column] | None = None, then: Mapping[str, Column] | None = None) -> DataFrame:
+               first: Mapping[str, Column] | None = None, then: Mapping[str, Column] | None = None,
+               lay_out: Sequence[str] | None = None) -> DataFrame:
     """Latest state per entity, in two steps.
 
     First a hash aggregate per (entity, attribute values) keeps the greatest ``order``: the source is
     combined map-side, never sorted, and its rows shrink to the different states of each entity.
     Then, per entity, each output of ``cols`` is its last value by ``order`` and each of ``greatest``
     its greatest value. ``first`` names further aggregates for the first step (sums, minima) and
-    ``then`` how the second step folds them; ``__last`` is the greatest ``order`` there.
+    ``then`` how the second step folds them; ``__last`` is the greatest ``order`` there. ``lay_out``, a subset of
+    ``keys``, deals the states by those keys alone, so that a later aggregate or join on them needs no shuffle.
     """
     keys = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
-    column = lambda c: F.col(c) if isinstance(c, str) else c
+    named = lambda c, n: F.expr(f"`{c}` AS `{n}`") if isinstance(c, str) else c.alias(n)
     states = {**cols, **(greatest or {})}
-    per_state = df.groupBy(*[F.col(src).alias(k) for k, src in keys.items()],
-                           *[column(c).alias(f"__a_{out}") for out, c in states.items()]).agg(
+    per_state = df.groupBy(*[named(src, k) for k, src in keys.items()],
+                           *[named(c, f"__a_{out}") for out, c in states.items()]).agg(
         F.max(order).alias("__last"), *[c.alias(n) for n, c in (first or {}).items()])
+    if lay_out:
+        per_state = per_state.repartition(*lay_out)
+    pick = lambda out: f"max(`__a_{out}`)" if out in (greatest or {}) else f"max(struct(__last AS o, `__a_{out}` AS v)).v"
     return per_state.groupBy(*keys).agg(
-        *[F.max(f"__a_{out}").alias(out) if out in (greatest or {}) else last_value(f"__a_{out}", "__last").alias(out)
-          for out in states],
+        *[F.expr(f"{pick(out)} AS `{out}`") for out in states],
         *[c.alias(n) for n, c in (then or {}).items()])
 
 

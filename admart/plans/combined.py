@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from admart.config import Config
 from admart.operators.aggregates import zero_fill_sum
@@ -48,9 +47,7 @@ ALL_ADS_MEASURES: dict[str, str] = {
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """Exact decimal money becomes double once, at the output."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name)
-                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
-                       for f in df.schema.fields])
+    return df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" if t.startswith("decimal") else f"`{c}`" for c, t in df.dtypes])
 
 
 def feeds(sources: Mapping[str, DataFrame], cfg: Config) -> list[DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from admart.functions.geo import region_of, with_country_code
-from admart.functions.rules import first_match, like_any, like_none
+from admart.functions.rules import Sql, call, first_match, like_any, like_none, name
 from admart.operators.aggregates import segment_sums
 
 SOURCE = "source_ga4_daily_country_marketing_channel"
@@ -18,13 +18,13 @@ DEMOGRAPHIC = "source_ga4_demographic_country_report"
 META_SOURCES = ("%facebook%", "%fb%", "%meta%")
 
 
-def source_medium(source: Column, medium: Column) -> Column:
+def source_medium(source: Column | Sql, medium: Column | Sql) -> Column | Sql:
     """Traffic class of a GA4 session source/medium (11 classes, first match wins).
 
     The meta/paid rule reads ``a OR b OR c OR (d AND e)``: any facebook/fb/meta source is paid,
     only instagram needs a paid medium.
     """
-    s, m = F.lower(source), F.lower(medium)
+    s, m = call("lower", source), call("lower", medium)
     paid = like_any(m, "%paid%", "%cpc%", "%ads%")
     return first_match([
         (s.like("%google%") & paid, "google/paid"),
@@ -41,7 +41,7 @@ def source_medium(source: Column, medium: Column) -> Column:
     ], default="other traffic")
 
 
-def ads_platform(traffic_class: Column) -> Column:
+def ads_platform(traffic_class: Column | Sql) -> Column | Sql:
     return first_match([
         (traffic_class.like("%google%"), "Google Ads"),
         (traffic_class.like("%meta%"), "Meta Ads"),
@@ -60,13 +60,13 @@ def channel_revenue(sources: Mapping[str, DataFrame]) -> DataFrame:
         F.col("metric_total_purchasers").alias("purchasers"),
         "dimension_session_medium",
         "dimension_session_source",
-        source_medium(F.col("dimension_session_source"), F.col("dimension_session_medium"))
+        source_medium(name("dimension_session_source"), name("dimension_session_medium"))
         .alias("ga4_source_medium"),
         F.col("dimension_session_default_channel_group").alias("session_default_channel_group"),
     )
     coded = with_country_code(named, "country", out="country_code")
     return coded.select(
-        ads_platform(F.col("ga4_source_medium")).alias("ads_platform"),
+        ads_platform(name("ga4_source_medium")).alias("ads_platform"),
         region_of("country").alias("region"),
         "date", "country", "country_code", "sessions", "revenue", "purchasers",
         "dimension_session_medium", "dimension_session_source", "ga4_source_medium",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from admart.config import Config
 from admart.functions.dates import in_trailing_days
 from admart.functions.geo import region_of
-from admart.functions.rules import first_match, like_any
+from admart.functions.rules import Sql, call, first_match, like_any, name
 from admart.functions.text import (json_quote, json_string, regexp_extract_or_null, strip_quotes,
                                    trim_ws)
 from admart.operators.aggregates import distinct_concat, last_state, segment_sums
@@ -46,13 +46,13 @@ CATEGORY_RULES: list[tuple[str, tuple[str, ...]]] = [
 ]
 
 
-def campaign_category(name: Column) -> Column:
+def campaign_category(campaign: Column | Sql) -> Column | Sql:
     """Category of a campaign name; here mascara is spelled ``Mas``."""
-    return first_match([(like_any(name, *needles), "Mas" if code == "MAS" else code)
+    return first_match([(like_any(campaign, *needles), "Mas" if code == "MAS" else code)
                         for code, needles in CATEGORY_RULES], default="MSC")
 
 
-def url_category(products: Column) -> Column:
+def url_category(products: Column | Sql) -> Column | Sql:
     return first_match([(like_any(products, *needles), code) for code, needles in CATEGORY_RULES])
 
 
@@ -91,11 +91,11 @@ def campaigns(sources: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     with_raw = per_campaign.select(
         F.upper(regexp_extract_or_null(F.col("campaign_name"), CAMPAIGN_COUNTRY)).alias("__country"),
         *rest)
-    raw_country = F.col("__country")
+    raw_country = name("__country")
     country = first_match([(raw_country.isNull(), "not parsed"), (raw_country == "GB", "UK")],
                           default=raw_country)
     return with_raw.select(
-        campaign_category(F.col("campaign_name")).alias("category_from_campaign_name"),
+        campaign_category(name("campaign_name")).alias("category_from_campaign_name"),
         region_of("__country").alias("region"),
         country.alias("country"),
         *rest)
@@ -149,9 +149,9 @@ def to_java_regex(pattern: str) -> str:
     return out.replace(r"\b", _ASCII_BOUNDARY)
 
 
-def keyword_brand(keyword: Column) -> Column:
+def keyword_brand(keyword: Column | Sql) -> Column | Sql:
     """Brand of a search keyword; ``'non-brand'`` when no rule matches."""
-    def matches(patterns: tuple[str, ...]) -> Column:
+    def matches(patterns: tuple[str, ...]) -> Column | Sql:
         tests = [keyword.rlike(to_java_regex(p)) for p in patterns]
         out = tests[0]
         for t in tests[1:]:
@@ -168,7 +168,7 @@ def keywords(sources: Mapping[str, DataFrame]) -> DataFrame:
         sources[KEYWORDS],
         {"campaign_id": "campaign_id", "ad_group_id": "ad_group_id", "keyword": "ad_group_criterion_keyword_text"},
         {c: c for c in attributes}, "segments_date", then={"keyword_last_run_date": F.max("__last")})
-    return state.select(keyword_brand(F.col("keyword")).alias("brand_name"), *state.columns)
+    return state.select(keyword_brand(name("keyword")).alias("brand_name"), *state.columns)
 
 
 # ------------------------------------------------------------------ ad and ad-group dimensions
@@ -185,9 +185,9 @@ AD_STATE_COLS = {
 
 
 def ad_state(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """intermediate_google_ads_ad_with_last_state: latest attributes per (ad group, ad)."""
+    """intermediate_google_ads_ad_with_last_state: latest attributes per (ad group, ad), dealt by ad group."""
     return last_state(sources[ADS], {"ad_group_id": "ad_group_id", "ad_id": "ad_group_ad_ad_id"},
-                      AD_STATE_COLS, "segments_date")
+                      AD_STATE_COLS, "segments_date", lay_out=["ad_group_id"])
 
 
 # Landing-page product slug and ad-text piece patterns.
@@ -219,7 +219,7 @@ def ad_texts(ads: DataFrame) -> DataFrame:
         distinct_concat(json_string(F.col("responsive_display_ad_descriptions")))
         .alias("responsive_display_ad_descriptions_string"),
     )
-    text = first_match([(F.col("ad_type") == t, F.col(c)) for t, c in DESCRIPTION_BY_TYPE.items()])
+    text = first_match([(name("ad_type") == t, name(c)) for t, c in DESCRIPTION_BY_TYPE.items()]).column()
     pieces = F.array_join(F.regexp_extract_all(text, F.lit(AD_TEXT), 1), " ")
     return per_group.select(pieces.alias("ad_descriptions"), *per_group.columns)
 
@@ -231,20 +231,20 @@ def ad_group_categories(texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame
     Borrowed products only matter through the rules, so a description carries one flag per rule
     (does any of its groups match?), never a list; no needle could match across two products.
     """
-    products = F.col("products_by_comma")
+    products = name("products_by_comma")
     flags = {f"__r{i}": like_any(products, *needles) for i, (_, needles) in enumerate(CATEGORY_RULES)}
     combined = texts.select(
         "ad_group_id", *keep,
         trim_ws(F.col("product")).alias("products_by_comma"),
         trim_ws(F.col("ad_descriptions")).alias("description_combined"))
-    by_description = combined.where(F.col("description_combined").isNotNull() & products.isNotNull()).groupBy(
-        F.col("description_combined").alias("__description")).agg(*[F.max(c).alias(n) for n, c in flags.items()])
-    # Only groups without products ask; the others are judged by their own.
-    needy = F.when(products.isNull(), F.col("description_combined"))
-    joined = combined.withColumn("__needy", needy).join(by_description, F.col("__needy") == F.col("__description"), "left")
-    borrowed = first_match([(F.col(n), code) for n, (code, _) in zip(flags, CATEGORY_RULES)])
+    by_description = combined.where("description_combined IS NOT NULL AND products_by_comma IS NOT NULL").groupBy(
+        F.col("description_combined").alias("__needy")).agg(*[F.expr(f"max({c}) AS {n}") for n, c in flags.items()])
+    # Only groups without products ask (the others have a NULL here and are judged by their own).
+    asking = combined.selectExpr("*", "CASE WHEN products_by_comma IS NULL THEN description_combined END AS __needy")
+    joined = lookup(asking, by_description, ["__needy"])
+    borrowed = first_match([(name(n), code) for n, (code, _) in zip(flags, CATEGORY_RULES)])
     return joined.select(
-        F.when(products.isNotNull(), url_category(products)).otherwise(borrowed)
+        first_match([(products.isNotNull(), url_category(products))], default=borrowed)
         .alias("category_from_destination_url_or_description"),
         "ad_group_id", *keep)
 
@@ -260,10 +260,11 @@ def ad_group_state(sources: Mapping[str, DataFrame], as_of: dt.date) -> DataFram
 def ad_group_dim(sources: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     """intermediate_google_ads_group_with_product_categories: one row per ad group that has ads."""
     texts = ad_texts(ad_state(sources))
+    # Both are dealt by ad group (unique and few NULLs), so this join moves no row.
+    named = texts.join(ad_group_state(sources, as_of), "ad_group_id", "left")
     kept = [c for c in texts.columns if c != "ad_group_id"]
-    named = lookup(ad_group_categories(texts, kept), ad_group_state(sources, as_of), ["ad_group_id"])
     state = [c for c in named.columns if c not in texts.columns]
-    return named.select("ad_group_id", *state, *kept)
+    return ad_group_categories(named, [*state, *kept]).select("ad_group_id", "category_from_destination_url_or_description", *state, *kept)
 
 
 # ------------------------------------------------------------------ daily fact
@@ -272,17 +273,10 @@ METRICS = ["spend", "impressions", "clicks", "conversions", "metrics_conversions
 
 
 def _daily(src: DataFrame, keys: list[Column], video: bool = False) -> DataFrame:
-    aggs = [
-        F.round(F.sum("metrics_cost_micros") / MICROS, 2).alias("spend"),
-        F.round(F.sum("metrics_impressions"), 2).cast("double").alias("impressions"),
-        F.round(F.sum("metrics_clicks"), 2).cast("double").alias("clicks"),
-    ]
-    if video:
-        aggs.append(F.round(F.sum("metrics_video_views"), 2).cast("double").alias("video_views"))
-    aggs += [
-        F.round(F.sum("metrics_conversions"), 2).cast("double").alias("conversions"),
-        F.round(F.sum("metrics_conversions_value"), 2).cast("double").alias("metrics_conversions_value"),
-    ]
+    sums = {"spend": f"sum(metrics_cost_micros) / {MICROS}", "impressions": "sum(metrics_impressions)", "clicks": "sum(metrics_clicks)",
+            **({"video_views": "sum(metrics_video_views)"} if video else {}),
+            "conversions": "sum(metrics_conversions)", "metrics_conversions_value": "sum(metrics_conversions_value)"}
+    aggs = [F.expr(f"CAST(round({total}, 2) AS DOUBLE) AS {out}") for out, total in sums.items()]
     return src.groupBy(*keys).agg(*aggs)
 
 
@@ -307,19 +301,18 @@ def daily_grains(sources: Mapping[str, DataFrame]) -> DataFrame:
 
 
 # The category, channel and campaign-type rules below.
-def gads_category(ad_group_type: Column, channel_type: Column, brand: Column) -> Column:
+def gads_category(ad_group_type: Column | Sql, channel_type: Column | Sql, brand: Column | Sql) -> Column | Sql:
     """Google ads category (before quote stripping)."""
     return first_match([
-        (brand == "Victoria Beckham Beauty", F.lit("BRAND SEARCH")),
-        (ad_group_type.isin('"SEARCH"', "SEARCH_STANDARD") | (channel_type == '"SEARCH"'),
-         F.lit("NON-BRAND SEARCH")),
+        (brand == "Victoria Beckham Beauty", "BRAND SEARCH"),
+        (ad_group_type.isin('"SEARCH"', "SEARCH_STANDARD") | (channel_type == '"SEARCH"'), "NON-BRAND SEARCH"),
         (ad_group_type.isNull(), channel_type),
         (ad_group_type.isin("UNKNOWN", "UNSPECIFIED"), channel_type),
-        (ad_group_type.like("%VIDEO%") | channel_type.like("%VIDEO%"), F.lit("GOOGLE VIDEO")),
+        (ad_group_type.like("%VIDEO%") | channel_type.like("%VIDEO%"), "GOOGLE VIDEO"),
     ], default=ad_group_type)
 
 
-def gads_channel(category: Column) -> Column:
+def gads_channel(category: Column | Sql) -> Column | Sql:
     """Channel from the *unstripped* category: a quoted PERFORMANCE_MAX is not mapped."""
     return first_match([
         (category == "PERFORMANCE_MAX", "PMax"),
@@ -328,8 +321,8 @@ def gads_channel(category: Column) -> Column:
     ], default="gads not mapped")
 
 
-def campaign_type(name: Column) -> Column:
-    n = F.lower(name)
+def campaign_type(campaign: Column | Sql) -> Column | Sql:
+    n = call("lower", campaign)
     return first_match([(n.like("%brand%"), "brand"), (n.like("%pmax%"), "pmax")], default="generic")
 
 
@@ -340,7 +333,7 @@ def daily_by_campaign(sources: Mapping[str, DataFrame], cfg: Config | None = Non
     drops them too, but they would still be built)."""
     cfg = cfg or Config()
     facts = lookup(daily_grains(sources), campaigns(sources, cfg.as_of), ["campaign_id"])
-    return facts.withColumn("campaign_type", campaign_type(F.col("campaign_name")))
+    return facts.select("*", campaign_type(name("campaign_name")).alias("campaign_type"))
 
 
 def daily_google_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None) -> DataFrame:
@@ -358,16 +351,15 @@ def daily_google_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None
     keep = [c for c in joined.columns
             if c not in ("category_from_destination_url_or_description", "category_from_campaign_name")]
     categorized = joined.select(product.alias("product_category"), *keep)
-    raw = gads_category(F.col("ad_group_type"), F.col("campaign_advertising_channel_type"),
-                        F.col("brand_name"))
+    raw = gads_category(name("ad_group_type"), name("campaign_advertising_channel_type"), name("brand_name"))
     rest = [c for c in categorized.columns if c != "product_category"]
     return categorized.select(
-        strip_quotes(raw).alias("google_ads_category"),
+        strip_quotes(raw.column()).alias("google_ads_category"),
         F.coalesce(F.col("product_category"), F.lit("MSC")).alias("product_category"),
         *rest,
         F.lit("Google Ads").alias("ads_platform"),
         gads_channel(raw).alias("channel"),
-        campaign_type(F.col("campaign_name")).alias("campaign_type"),
+        campaign_type(name("campaign_name")).alias("campaign_type"),
     )
 
 

@@ -12,7 +12,7 @@ from admart.config import Config, MetaSegments
 from admart.functions.dates import month_start
 from admart.functions.geo import region_of
 from admart.functions.json_metrics import array_metric_max, array_metric_sum, json_array
-from admart.functions.rules import first_match, like_any
+from admart.functions.rules import Sql, call, first_match, like_any, name
 from admart.functions.text import regexp_extract_or_null
 from admart.operators.aggregates import segment_sums
 from admart.operators.windows import clamp_outliers, rank_median
@@ -67,17 +67,17 @@ def extract_metrics(ads: DataFrame) -> DataFrame:
     )
 
 
-def segment_flags(seg: MetaSegments) -> dict[str, Column]:
+def segment_flags(seg: MetaSegments) -> dict[str, Sql]:
     """is_experiment / is_reach_and_frequency / is_retargeting / is_prospecting."""
-    name = F.lower(F.col("campaign_name"))
-    cid = F.col("campaign_id")
+    campaign = call("lower", name("campaign_name"))
+    cid = name("campaign_id")
+    start, end = (Sql(f"DATE'{d}'") for d in (seg.window_start, seg.window_end))
     experiment = first_match([
-        (cid.isin(*seg.window_campaign_ids)
-         & F.col("ad_run_date").between(F.lit(seg.window_start), F.lit(seg.window_end)), True),
-        (name.like("%[exp]%") & ~cid.isin(*seg.excluded_campaign_ids), True),
+        (cid.isin(*seg.window_campaign_ids) & name("ad_run_date").between(start, end), True),
+        (campaign.like("%[exp]%") & ~cid.isin(*seg.excluded_campaign_ids), True),
     ], default=False)
-    rf = name.like("%[rf]%")
-    retarget = name.like("%retarget%")
+    rf = campaign.like("%[rf]%")
+    retarget = campaign.like("%retarget%")
     return {
         "is_experiment": experiment,
         "is_reach_and_frequency": rf,
@@ -87,34 +87,34 @@ def segment_flags(seg: MetaSegments) -> dict[str, Column]:
     }
 
 
-def _prefix_code(c: Column) -> tuple[Column, Column]:
+def _prefix_code(c: Column | Sql) -> tuple:
     """(has a two-letter ``xx_`` prefix, the prefix as written)."""
-    return F.substring(c, 3, 1) == "_", F.substring(c, 1, 2)
+    return call("substring", c, 3, 1) == "_", call("substring", c, 1, 2)
 
 
 BRACKET = r"\[([^\]]+)\]"
 SECOND_BRACKET = r"\[[^\]]+\]\s*\[([^\]]+)\]"
 
 
-def meta_country(adset: Column, ad: Column, campaign: Column, bracket: Column | None = None) -> Column:
+def meta_country(adset: Column | Sql, ad: Column | Sql, campaign: Column | Sql, bracket: Column | Sql | None = None) -> Column | Sql:
     """Country from the adset prefix, else the first ad-name bracket, else the campaign prefix.
     The ``GB`` test is on the raw case, upper-casing comes after. ``bracket`` may pass the
     already extracted first bracket code of ``ad``."""
     a_has, a_code = _prefix_code(adset)
     c_has, c_code = _prefix_code(campaign)
     bracket = regexp_extract_or_null(ad, BRACKET) if bracket is None else bracket
-    return F.upper(first_match([
+    return call("upper", first_match([
         (a_has & (a_code != "GB"), a_code),
-        (a_has & (a_code == "GB"), F.lit("UK")),
+        (a_has & (a_code == "GB"), "UK"),
         (bracket != "GB", bracket),
         (c_has & (c_code != "GB"), c_code),
-        (c_has & (c_code == "GB"), F.lit("UK")),
+        (c_has & (c_code == "GB"), "UK"),
     ]))
 
 
-def meta_category(category: Column, ad: Column, adset: Column, campaign: Column) -> Column:
+def meta_category(category: Column | Sql, ad: Column | Sql, adset: Column | Sql, campaign: Column | Sql) -> Column | Sql:
     """Product category: bracket code (FRAG -> FRD, MCE -> MSC) else rules on the names."""
-    a, s, c = F.lower(ad), F.lower(adset), F.lower(campaign)
+    a, s, c = call("lower", ad), call("lower", adset), call("lower", campaign)
     # The needles of both rule lists.
     by_name = first_match([
         (like_any(a, "%satin%", "%skl%", "%jewel_smoky%", "%sigsmokeout%"), "SKL"),
@@ -143,14 +143,13 @@ def with_segments(metrics: DataFrame, seg: MetaSegments) -> DataFrame:
 def with_country_category(df: DataFrame) -> DataFrame:
     """Country, region and product category. The bracket codes are extracted once, in their own
     projection, and the rule chains read them (a regex is not re-run per rule arm)."""
-    ad, adset, camp = F.col("ad_name"), F.col("adset_name"), F.col("campaign_name")
-    helpers = df.select("*", regexp_extract_or_null(ad, BRACKET).alias("__bracket"),
-                        regexp_extract_or_null(ad, SECOND_BRACKET).alias("__category"))
-    country = meta_country(adset, ad, camp, bracket=F.col("__bracket"))
-    with_country = helpers.withColumn("country", country)
-    return (with_country.withColumn("region", region_of("country"))
-            .withColumn("product_category", meta_category(F.col("__category"), ad, adset, camp))
-            .drop("__bracket", "__category"))
+    ad, adset, camp = name("ad_name"), name("adset_name"), name("campaign_name")
+    helpers = df.select("*", regexp_extract_or_null(F.col("ad_name"), BRACKET).alias("__bracket"),
+                        regexp_extract_or_null(F.col("ad_name"), SECOND_BRACKET).alias("__category"))
+    with_country = helpers.select("*", meta_country(adset, ad, camp, bracket=name("__bracket")).alias("country"))
+    kept = [c for c in with_country.columns if c not in ("__bracket", "__category")]
+    return with_country.select(*kept, region_of("country").alias("region"),
+                               meta_category(name("__category"), ad, adset, camp).alias("product_category"))
 
 
 def aov_rows(df: DataFrame) -> DataFrame:
@@ -159,12 +158,12 @@ def aov_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("aov", aov).withColumn("month_start_date", month_start("ad_run_date"))
 
 
-def aov_medians(rows: DataFrame) -> DataFrame:
+def aov_medians(rows: DataFrame, null_keys: bool = True) -> DataFrame:
     """Rank-median AOV per (region, month) over rows with purchases and purchase value."""
     valid = rows.where(F.col("onsite_web_app_purchase_sum_usd").isNotNull()
                        & F.col("onsite_web_purchases").isNotNull()
                        & (F.col("onsite_web_purchases") != 0))
-    return rank_median(valid, ["region", "month_start_date"], "aov", out="aov_reion_month_median")
+    return rank_median(valid, ["region", "month_start_date"], "aov", out="aov_reion_month_median", null_keys=null_keys)
 
 
 def daily_meta_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None,
@@ -183,8 +182,8 @@ def daily_meta_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None,
         keep = list(dict.fromkeys([*columns, "region", "month_start_date", "aov", "onsite_web_purchases",
                                    "onsite_web_app_purchase_sum_usd"]))
         rows = rows.select(*keep)
-    corrected = clamp_outliers(rows, aov_medians(rows), ["region", "month_start_date"], "aov",
-                               "aov_reion_month_median", "aov_corrected", cfg.aov_outlier_factor)
+    corrected = clamp_outliers(rows, aov_medians(rows, null_keys=False), ["region", "month_start_date"], "aov",
+                               "aov_reion_month_median", "aov_corrected", cfg.aov_outlier_factor, few_groups=True)
     revenue = F.col("onsite_web_purchases") * F.col("aov_corrected")
     return (corrected.withColumn("onsite_web_app_purchase_sum_usd", revenue)
                      .withColumn("ads_platform", F.lit("Meta Ads"))

@@ -27,8 +27,15 @@ CFG = Config(prospect="fixture", customer_id="0", as_of=FIXTURE_AS_OF)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_BUILT: dict[tuple[str, str], object] = {}
+
+
 def _src(spark: SparkSession, sf_dir: str):
-    return fixture_sources(spark, sf_dir)
+    """The sources over ``sf_dir``. They are lazy plans, so a session builds each of them once and all queries share it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        _BUILT[key] = fixture_sources(spark, sf_dir)
+    return _BUILT[key]
 
 
 def q_country_code(spark, sf_dir):

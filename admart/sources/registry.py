@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from admart.config import Config
 from admart.sources.schemas import SCHEMAS
@@ -40,7 +39,7 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     """Project a raw source to its declared columns and types (extra columns are dropped here,
     so the scan reads only what the models use)."""
     schema = SCHEMAS[name]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
 
 def warehouse_sources(spark: SparkSession, cfg: Config,

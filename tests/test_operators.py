@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from admart.config import DEFAULT_PERIODS
 from admart.operators import (backfill, channel_merge, dedupe_top1, distinct_count_and_sums,
-                              merge_by_key, period_rollup, rank_median)
+                              lookup, merge_by_key, period_rollup, rank_median)
 from admart.operators.aggregates import distinct_concat, last_state, last_value, ordered_concat
 from admart.operators.windows import value_bucket
 
@@ -152,3 +152,75 @@ def test_last_value_and_concat(spark):
     got = {r[0]: (r[1], r[2], r[3]) for r in df.groupBy("k").agg(
         last_value("x", "d"), distinct_concat("x"), ordered_concat("x", ", ")).collect()}
     assert got == {1: ("b", "a,b,old", "a, b, old"), 2: (None, None, None)}
+
+
+def rows_by_task(df):
+    """Rows of each task of the last stage."""
+    return sorted((r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()), reverse=True)
+
+
+def test_backfill_spreads_a_hot_key_and_null_keys(spark):
+    """A campaign-day with a third of the rows, and a third without a key: equal to SQL, and spread over tasks."""
+    fine = spark.range(9000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS campaign", "DATE'2024-01-01' AS day",
+        "concat('w', id) AS keyword", "CASE WHEN id % 5 > 0 THEN id END AS m", "CASE WHEN id % 7 > 0 THEN id END AS n")
+    coarse = spark.createDataFrame([(7, 1, 2), (None, 3, 4), (5, 5, None), (-1, 6, 7), (-2, None, 8)], "campaign long, m long, n long").selectExpr(
+        "*", "DATE'2024-01-01' AS day")
+    got = backfill(fine, coarse, ["day", "campaign"], ["m", "n"])
+    fine.createOrReplaceTempView("f")
+    coarse.createOrReplaceTempView("c")
+    want = spark.sql("SELECT day, campaign, keyword, coalesce(f.m, c.m) AS m, coalesce(f.n, c.n) AS n FROM f FULL OUTER JOIN c USING (day, campaign)")
+    assert bag(got.select("day", "campaign", "keyword", "m", "n")) == bag(want)
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(keep, ("false", "-1")):
+            spark.conf.set(k, v)
+        assert rows_by_task(got)[0] < 2000 and len(rows_by_task(got)) == 8  # by key alone, 3,000 rows meet in one task
+        lacks = got.where("campaign = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(lacks) == 8
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_backfill_copies_to_marked_pieces_alone(spark):
+    """Coarse rows whose fine rows lack nothing are neither copied nor returned; pieces up to 64 work."""
+    fine = spark.range(500).selectExpr("id % 2 AS k", "id AS w", "CASE WHEN id % 2 = 1 OR id % 10 > 0 THEN id END AS m")
+    coarse = spark.createDataFrame([(0, -5), (1, -6), (2, -7)], "k long, m long")
+    for pieces in (1, 2, 64):
+        got = backfill(fine, coarse, ["k"], ["m"], pieces)
+        assert got.count() == 501 and got.where("w IS NULL").collect()[0]["m"] == -7
+        assert got.where("m = -5").count() == 50 and got.where("m = -6").count() == 0
+
+
+def test_lookup_spreads_rows_without_a_key(spark):
+    facts = spark.range(9000).selectExpr("CASE WHEN id % 3 > 0 THEN id % 50 END AS k", "id AS v")
+    dim = spark.createDataFrame([(i, f"n{i}") for i in range(40)] + [(None, "none")], "k long, name string")
+    got = lookup(facts, dim, ["k"])
+    facts.createOrReplaceTempView("lf")
+    dim.createOrReplaceTempView("ld")
+    assert bag(got.select("k", "v", "name")) == bag(spark.sql("SELECT k, v, name FROM lf LEFT JOIN ld USING (k)"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(keep, ("false", "-1")):
+            spark.conf.set(k, v)
+        alone = got.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(alone) == 8 and max(r["count"] for r in alone) < 800
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_dedupe_with_null_keys_ties_and_nulls_last(spark):
+    rows = [(None, None, 1.0, "a"), (None, None, 2.0, "b"), (None, 1, None, "c"), (None, 1, None, "d"), (1, None, 5.0, "x"), (1, None, 5.0, None), (2, 2, None, None)]
+    df = spark.createDataFrame(rows * 3, "k int, j int, s double, t string")
+    want = {(None, None, 2.0, "b"), (None, 1, None, "d"), (1, None, 5.0, "x"), (2, 2, None, None)}
+    assert bag(dedupe_top1(df, ["k", "j"], ["s"])) == Counter(want) == bag(dedupe_top1(df, ["k", "j"], ["s"], partition_by=["k"]))
+
+
+def test_medians_without_null_keys(spark):
+    rows = [(k, float(v)) for k in ("a", "b", None) for v in range(7)] + [("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    every = {r["k"]: r["median"] for r in rank_median(df, ["k"], "v").collect()}
+    known = {r["k"]: r["median"] for r in rank_median(df, ["k"], "v", null_keys=False).collect()}
+    assert known == {k: m for k, m in every.items() if k is not None} and None in every
