@@ -73,8 +73,10 @@ def rank_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "medi
     """
     keys = list(keys)
     by = [f"`{k}`" for k in keys]
-    known = " AND ".join(["__v IS NOT NULL"] + ([] if null_keys else [f"{k} IS NOT NULL" for k in by]))
-    counts = df.selectExpr(*by, f"CAST(`{value}` AS DOUBLE) AS __v").where(known).groupBy(*keys, "__v").agg(F.expr("count(1) AS __c"))
+    known = "true" if null_keys else " AND ".join(f"{k} IS NOT NULL" for k in by)
+    # A filter on the value would be pushed down to its inputs and compute them (say, parse JSON) once more.
+    counts = df.selectExpr(*by, f"CAST(`{value}` AS DOUBLE) AS __v").where(known).groupBy(*keys, "__v").agg(
+        F.expr("count(__v) AS __c")).where("__c > 0")
     counts = counts.withColumn("__b", F.coalesce(value_bucket(F.col("__v")), F.lit(0).cast("long")))
     per_bucket = counts.groupBy(*keys, "__b").agg(F.expr("sum(__c) AS __c"))
     group = f"PARTITION BY {', '.join(by)}"

@@ -159,11 +159,8 @@ def aov_rows(df: DataFrame) -> DataFrame:
 
 
 def aov_medians(rows: DataFrame, null_keys: bool = True) -> DataFrame:
-    """Rank-median AOV per (region, month) over rows with purchases and purchase value."""
-    valid = rows.where(F.col("onsite_web_app_purchase_sum_usd").isNotNull()
-                       & F.col("onsite_web_purchases").isNotNull()
-                       & (F.col("onsite_web_purchases") != 0))
-    return rank_median(valid, ["region", "month_start_date"], "aov", out="aov_reion_month_median", null_keys=null_keys)
+    """Rank-median AOV per (region, month) over rows with purchases and purchase value; the others have no AOV."""
+    return rank_median(rows, ["region", "month_start_date"], "aov", out="aov_reion_month_median", null_keys=null_keys)
 
 
 def daily_meta_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None,

@@ -83,25 +83,23 @@ def sku_sales_by_period(sources: Mapping[str, DataFrame],
     type and region - distinct orders, rounded quantities and money, and AOV.
 
     The order lines are joined to the deduplicated orders on (month, order) only, so an order with
-    two countries or customer types multiplies its lines, as in the reference. The deduplicated
-    orders are laid out by (month, order) for this join. Lines are added up per order and month
-    before they are copied to the periods that hold the month.
+    two countries or customer types multiplies its lines, as in the reference. Both sides are dealt by order alone:
+    the month is compared by two inequalities, as an equality would become a part of the key. All rows of an order
+    then lie in one task, where its lines are copied to their periods and added up per (period, order); one shuffle
+    of sums is left.
     """
-    orders = dedupe_orders(sources, partition_by=["month", "order_id"]).select(
-        F.col("month").alias("__m"), F.col("order_id").alias("__o"),
-        F.concat(F.col("customer_type"), F.lit(" / "), F.col("purchase_option")).alias("customer_type"))
-    lines = sources[ORDER_LINES].where(F.col("variant_sku").isNotNull())
-    joined = lines.join(orders, (lines["month"] == orders["__m"]) & (lines["order_id"] == orders["__o"]), "inner")
+    orders = dedupe_orders(sources, partition_by=["order_id"]).selectExpr(
+        "month AS __m", "order_id AS __o", "concat(customer_type, ' / ', purchase_option) AS customer_type")
+    lines = sources[ORDER_LINES].where("variant_sku IS NOT NULL")
+    joined = lines.join(orders, F.expr("order_id = __o AND month <= __m AND month >= __m"), "inner")
     keys = ["variant_sku", "product_title", "customer_type", "product_price", "region"]
     money = ["ordered_item_quantity", "gross_sales", "discounts", "net_sales"]
-    per_order = joined.select(
-        "month", "order_id", "customer_type", "variant_sku",
-        F.col("product").alias("product_title"), "product_price",
-        F.col("ordered_items").alias("ordered_item_quantity"),
-        "gross_sales", "discounts", "net_sales",
-        region_of("billing_country").alias("region"),
-    ).groupBy("month", "order_id", *keys).agg(*[F.sum(m).alias(m) for m in money])
-    in_periods = per_order.withColumn("period", F.explode(period_labels(_month_of("month"), periods)))
+    # The month's text is parsed once a row, in a projection of its own; the labels compare the date many times.
+    dated = joined.select(
+        _month_of("month").alias("__date"), "order_id", "customer_type", "variant_sku", F.col("product").alias("product_title"),
+        "product_price", F.col("ordered_items").alias("ordered_item_quantity"), "gross_sales", "discounts", "net_sales",
+        region_of("billing_country").alias("region"))
+    in_periods = dated.select(F.explode(period_labels("__date", periods)).alias("period"), "order_id", *keys, *money)
     rolled = distinct_count_and_sums(in_periods, ["period", *keys], "order_id", "orders", {m: m for m in money})
     rounded = rolled.where(F.col("period").isNotNull()).select(
         "period", "variant_sku", "product_title", "customer_type",

@@ -126,7 +126,7 @@ def mills(money: Column, key: Column) -> Column:
 
 
 def from_cents(c: Column) -> Column:
-    return (c.cast("decimal(18,0)") / 100).cast("decimal(18,2)")
+    return (c.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
 
 
 # ---------------------------------------------------------------- adapters
