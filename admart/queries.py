@@ -18,7 +18,8 @@ from admart.functions.geo import region_of, with_country_code
 from admart.plans import combined, ga4, google_ads, meta_ads, shopify
 from admart.plans.combined import decimals_to_double
 from admart.session import shared_folder
-from admart.sources import SCHEMAS, as_view, physical_name, save_table, warehouse_sources
+from admart.sources import (SCHEMAS, accepted, as_view, checked, ledger_counts, physical_name, read_sorted, save_sorted,
+                            save_table, warehouse_sources)
 from admart.sources.fixtures import fixture_sources
 from admart.sources.registry import parquet_reader
 
@@ -242,6 +243,48 @@ def q_mart_tables(spark, sf_dir):
     return per_day.join(days, "date", "left")
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/admart-{name}-{uuid.uuid4().hex}"
+
+
+def q_sorted_view(spark, sf_dir):
+    """O1: the Meta view's final sort as a table in that order, read back with each row's position."""
+    path = _scratch(spark, "sorted")
+    meta = meta_ads.daily_meta_ads(_src(spark, sf_dir), CFG, columns=["ad_id", "ad_run_date", "spend"])
+    save_sorted(decimals_to_double(meta.select("ad_id", "spend", "ad_run_date")), path, [F.desc("ad_run_date")])
+    return read_sorted(spark, path).select("position", "ad_run_date", "ad_id", "spend")
+
+
+def q_mart_refresh(spark, sf_dir):
+    """A mart saved by month, the even months replaced alone, then the whole refreshed from itself."""
+    path = _scratch(spark, "refresh")
+    daily = shopify.new_returning_daily(_src(spark, sf_dir)).selectExpr(
+        "day", "region", "new_orders", "CAST(new_sales AS DOUBLE) AS new_sales", "trunc(day, 'MM') AS month")
+    save_table(daily, path=path, partition_by=["month"])
+    even = daily.where("month(day) % 2 = 0").withColumn("new_orders", F.col("new_orders") * 10)
+    save_table(even, path=path, partition_by=["month"], touched_only=True)
+    save_table(spark.read.parquet(path).withColumn("new_orders", F.col("new_orders") + 1), path=path, partition_by=["month"])
+    return spark.read.parquet(path).select("day", "region", "new_orders", "new_sales")
+
+
+def q_reject_ledger(spark, sf_dir):
+    """order lines and ad metrics that arrive as text with bad values: what was rejected, by column, and how
+    many lines were accepted."""
+    sources = _src(spark, sf_dir)
+    lines = sources[shopify.ORDER_LINES]
+    spoiled = {"ordered_items": "CASE WHEN order_id % 89 = 0 THEN ordered_items || ' pcs' ELSE ordered_items END",
+               "product_price": "CASE WHEN order_id % 97 = 0 AND product_price IS NOT NULL THEN 'n/a' ELSE product_price END",
+               "net_sales": "CASE WHEN order_id % 101 = 0 AND net_sales IS NOT NULL THEN '1,234.50' ELSE net_sales END"}
+    texts = lines.selectExpr(*[f"CAST(`{c}` AS STRING) AS `{c}`" for c in lines.columns])
+    rows = checked(texts.selectExpr(*[f"{spoiled.get(c, f'`{c}`')} AS `{c}`" for c in lines.columns]), shopify.ORDER_LINES)
+    ads = sources[meta_ads.SOURCE].withColumn("actions", F.expr(
+        """CASE WHEN ad_id % 83 = 0 THEN replace(actions, '"value":"', '"value":"~') ELSE actions END"""))
+    metrics = checked(ads, meta_ads.SOURCE, json_values={"actions": "bigint"})
+    total = accepted(rows).agg(F.lit("accepted lines").alias("column"), F.count(F.lit(1)).alias("n_rejected")).selectExpr(
+        "*", "CAST(NULL AS BIGINT) AS n_values", "CAST(NULL AS STRING) AS least_value")
+    return ledger_counts(rows).unionByName(ledger_counts(metrics)).unionByName(total)
+
+
 QUERIES: dict[str, Query] = {
     "country_code": q_country_code,
     "region_map": q_region_map,
@@ -274,6 +317,9 @@ QUERIES: dict[str, Query] = {
     "daily_google_ads": q_daily_google_ads,
     "gads_daily_rollup": q_gads_daily_rollup,
     "all_ads_daily": q_all_ads_daily,
+    "sorted_view": q_sorted_view,
+    "mart_refresh": q_mart_refresh,
+    "reject_ledger": q_reject_ledger,
     "latest_date": q_latest_date,
     "mart_tables": q_mart_tables,
 }
