@@ -14,7 +14,7 @@ from admart.functions.geo import region_of
 from admart.functions.rules import Sql, call, first_match, like_any, name
 from admart.functions.text import (json_quote, json_string, regexp_extract_or_null, strip_quotes,
                                    trim_ws)
-from admart.operators.aggregates import distinct_concat, last_state, segment_sums
+from admart.operators.aggregates import distinct_concat, last_state, money_parts, money_sum, segment_sums
 from admart.operators.joins import backfill, lookup
 
 KEYWORDS = "source_daily_google_ads_keywords"
@@ -366,24 +366,16 @@ def daily_google_ads(sources: Mapping[str, DataFrame], cfg: Config | None = None
 CAMPAIGN_TYPES = {t: f"campaign_type = '{t}'" for t in ("brand", "generic", "pmax")}
 
 
-def cents_exact(c: str) -> Column:
-    """A value rounded to 2 decimals, as an exact decimal: its sums no longer depend on the order
-    rows are added in (float sums do), so the mart is reproducible under any partitioning."""
-    return F.col(c).cast("decimal(38,2)")
-
-
 def gads_daily(gads: DataFrame) -> DataFrame:
     """Google part of the all-ads mart: totals and 3 campaign types x 5 metrics per (date, region).
-    Money and conversions were rounded to cents per fact row and are summed exactly."""
-    spend, conv, value = cents_exact("spend"), cents_exact("conversions"), cents_exact("metrics_conversions_value")
-    exact = "CAST({} AS DECIMAL(38,2))".format
-    grid = segment_sums({"conversions": exact("conversions"), "clicks": "clicks", "impressions": "impressions",
-                         "spend": exact("spend"), "sales": exact("metrics_conversions_value")},
-                        CAMPAIGN_TYPES, name="gads_{metric}_{segment}")
-    return gads.groupBy(F.col("ad_run_date").alias("date"), "region").agg(
-        F.sum("impressions").alias("gads_impressions"),
-        F.sum("clicks").alias("gads_clicks"),
-        F.sum(spend).alias("gads_spend"),
-        F.sum(conv).alias("gads_conversions"),
-        F.sum(value).alias("gads_sales"),
-        *grid)
+
+    Money and conversions were rounded to cents per fact row and are summed exactly, so the mart doesn't depend on
+    the order of the rows, as sums of doubles do."""
+    cents = {"spend": "spend", "conversions": "conversions", "sales": "metrics_conversions_value"}
+    kind = "DECIMAL(38,2)"
+    rows = money_parts(gads, {out: f"CAST({c} AS DECIMAL(20,2))" for out, c in cents.items()})
+    grid = segment_sums({"conversions": "conversions", "clicks": "clicks", "impressions": "impressions", "spend": "spend", "sales": "sales"},
+                        CAMPAIGN_TYPES, name="gads_{metric}_{segment}", money=dict.fromkeys(cents, kind))
+    totals = {"impressions": "sum(impressions)", "clicks": "sum(clicks)", **{m: money_sum(m, kind) for m in cents}}
+    return rows.groupBy(F.col("ad_run_date").alias("date"), "region").agg(
+        *[F.expr(f"{total} AS gads_{out}") for out, total in totals.items()], *grid)

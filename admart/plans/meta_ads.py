@@ -14,7 +14,7 @@ from admart.functions.geo import region_of
 from admart.functions.json_metrics import array_metric_max, array_metric_sum, json_array
 from admart.functions.rules import Sql, call, first_match, like_any, name
 from admart.functions.text import regexp_extract_or_null
-from admart.operators.aggregates import segment_sums
+from admart.operators.aggregates import money_parts, money_sum, segment_sums
 from admart.operators.windows import clamp_outliers, rank_median
 
 SOURCE = "source_daily_meta_ads"
@@ -204,17 +204,14 @@ def meta_daily(meta: DataFrame) -> DataFrame:
 
     Revenue per ad-day is a double; it is added up as a decimal of six places, so the sums don't
     depend on the order of the rows."""
-    sales = "CAST(onsite_web_app_purchase_sum_usd AS DECIMAL(28,6))"
+    money = {"spend": "DECIMAL(34,9)", "sales": "DECIMAL(38,6)"}
+    rows = money_parts(meta, {"spend": "spend", "sales": "CAST(onsite_web_app_purchase_sum_usd AS DECIMAL(28,6))"})
     seg = segment_sums({
         "landing_page_views": "landing_page_views", "conversions": "onsite_web_purchases",
-        "impressions": "impressions", "clicks": "unique_inline_link_clicks", "spend": "spend",
-        "sales": sales},
-        SEGMENTS, name="meta_{metric}_{segment}")
-    return meta.groupBy(F.col("ad_run_date").alias("date"), "region").agg(
-        F.sum("impressions").alias("meta_impressions"),
-        F.sum("landing_page_views").alias("landing_page_views"),
-        F.sum("unique_inline_link_clicks").alias("meta_clicks"),
-        F.sum("spend").alias("meta_spend"),
-        F.sum("onsite_web_purchases").alias("meta_conversions"),
-        F.expr(f"sum({sales})").alias("meta_sales"),
-        *seg)
+        "impressions": "impressions", "clicks": "unique_inline_link_clicks", "spend": "spend", "sales": "sales"},
+        SEGMENTS, name="meta_{metric}_{segment}", money=money)
+    totals = {"meta_impressions": "sum(impressions)", "landing_page_views": "sum(landing_page_views)",
+              "meta_clicks": "sum(unique_inline_link_clicks)", "meta_spend": money_sum("spend", money["spend"]),
+              "meta_conversions": "sum(onsite_web_purchases)", "meta_sales": money_sum("sales", money["sales"])}
+    return rows.groupBy(F.col("ad_run_date").alias("date"), "region").agg(
+        *[F.expr(f"{total} AS {out}") for out, total in totals.items()], *seg)

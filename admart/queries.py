@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from admart.config import FIXTURE_AS_OF, Config
 from admart.functions.dates import latest_date
 from admart.functions.geo import region_of, with_country_code
+from admart.operators import concat_by_group
 from admart.plans import combined, ga4, google_ads, meta_ads, shopify
 from admart.plans.combined import decimals_to_double
 from admart.session import shared_folder
@@ -169,6 +170,17 @@ def q_ad_group_texts(spark, sf_dir):
     return google_ads.ad_texts(google_ads.ad_state(_src(spark, sf_dir)))
 
 
+def q_ordered_concat(spark, sf_dir):
+    """A8, A9, O3 for hot groups: per country of the order lines, the distinct products and all SKUs in order (digests
+    of the joined texts)."""
+    lines = _src(spark, sf_dir)[shopify.ORDER_LINES]
+    products = concat_by_group(lines, ["billing_country"], {"products": "product"}, ",")
+    skus = concat_by_group(lines, ["billing_country"], {"skus": "variant_sku"}, ", ", distinct=False)
+    both = products.join(skus.withColumnRenamed("billing_country", "same"), F.expr("billing_country <=> same"))
+    return both.selectExpr("billing_country", "CAST(length(products) AS BIGINT) AS products_length", "md5(products) AS products_md5",
+                           "CAST(length(skus) AS BIGINT) AS skus_length", "md5(skus) AS skus_md5")
+
+
 def q_ad_group_state(spark, sf_dir):
     """Latest type/name and total / 7-day / 14-day spend per ad group."""
     return google_ads.ad_group_state(_src(spark, sf_dir), CFG.as_of)
@@ -309,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "last_state_ad": q_last_state_ad,
     "campaign_dim": q_campaign_dim,
     "ad_group_texts": q_ad_group_texts,
+    "ordered_concat": q_ordered_concat,
     "ad_group_state": q_ad_group_state,
     "ad_group_category": q_ad_group_category,
     "ad_group_dim": q_ad_group_dim,

@@ -7,8 +7,8 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from admart.config import DEFAULT_PERIODS
-from admart.operators import (backfill, channel_merge, dedupe_top1, distinct_count_and_sums,
-                              lookup, merge_by_key, period_rollup, rank_median)
+from admart.operators import (backfill, channel_merge, concat_by_group, dedupe_top1, distinct_count_and_sums, lookup, merge_by_key,
+                              money_parts, money_sum, period_rollup, rank_median, segment_sums)
 from admart.operators.aggregates import distinct_concat, last_state, last_value, ordered_concat
 from admart.operators.windows import value_bucket
 
@@ -224,3 +224,39 @@ def test_medians_without_null_keys(spark):
     every = {r["k"]: r["median"] for r in rank_median(df, ["k"], "v").collect()}
     known = {r["k"]: r["median"] for r in rank_median(df, ["k"], "v", null_keys=False).collect()}
     assert known == {k: m for k, m in every.items() if k is not None} and None in every
+
+
+def test_concat_by_group_equals_the_aggregates(spark):
+    rows = [(i % 3 if i % 4 else None, f"v{i * 7 % 23}" if i % 5 else None, "it's" if i % 2 else None) for i in range(200)] + [(9, None, None)]
+    df = spark.createDataFrame(rows, "k int, x string, y string").repartition(5)
+    plain = df.groupBy("k").agg(distinct_concat("x").alias("x"), distinct_concat("y").alias("y"))
+    assert bag(concat_by_group(df, ["k"], {"x": "x", "y": "y"})) == bag(plain)
+    every = df.groupBy("k").agg(ordered_concat("x", "' ").alias("x"))
+    assert bag(concat_by_group(df, ["k"], {"x": "x"}, "' ", distinct=False)) == bag(every)
+    assert concat_by_group(df.limit(0), ["k"], {"x": "x"}).collect() == []
+
+
+def test_concat_by_group_of_a_hot_group(spark):
+    """10^5 different values in one group: the text is whole and in order, and no task holds all of its values."""
+    df = spark.range(100_000).selectExpr("CASE WHEN id % 100 = 0 THEN 1 ELSE 0 END AS k", "concat('value ', id) AS v")
+    got = {r["k"]: r["v"] for r in concat_by_group(df, ["k"], {"v": "v"}, "|").collect()}
+    assert got[0] == "|".join(sorted(f"value {i}" for i in range(100_000) if i % 100))
+    assert got[1] == "|".join(sorted(f"value {i}" for i in range(0, 100_000, 100)))
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        laid = df.groupBy("k", "v").count().repartitionByRange("k", "v")
+        assert rows_by_task(laid)[0] < 30_000 and len(rows_by_task(laid)) == 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)
+
+
+def test_money_parts_add_up_exactly(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), rng.random() < 0.5 if rng.random() < 0.9 else None,
+             None if rng.random() < 0.1 else str(rng.randrange(-10**20, 10**20)) + "e-9") for _ in range(500)]
+    df = spark.createDataFrame(rows, "k string, seg boolean, t string").selectExpr("k", "seg", "CAST(t AS DECIMAL(24,9)) AS m")
+    plain = df.groupBy("k").agg(F.expr("sum(m) AS total"), *segment_sums({"m": "m"}, {"seg": "seg"}))
+    kind = "DECIMAL(34,9)"
+    parts = money_parts(df, {"m": "m"}).groupBy("k").agg(F.expr(f"{money_sum('m', kind)} AS total"), *segment_sums({"m": "m"}, {"seg": "seg"}, money={"m": kind}))
+    assert bag(parts) == bag(plain) and parts.dtypes == plain.dtypes
