@@ -104,6 +104,7 @@ def lookup(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     with a NULL key match nothing: they are dealt to pieces of their own, so that they don't meet in one task.
     """
     keys = list(keys)
-    facts = df.selectExpr("*", f"CASE WHEN {any_null(keys)} THEN {piece_of(keys, df.columns, 1)} ELSE 0 END AS __piece")
+    by = [c for c, kind in df.dtypes if "map<" not in kind]  # maps have no hash
+    facts = df.selectExpr("*", f"CASE WHEN {any_null(keys)} THEN {piece_of(keys, by, 1)} ELSE 0 END AS __piece")
     own = dim.selectExpr("*", f"CASE WHEN {any_null(keys)} THEN 1 ELSE 0 END AS __piece")
     return facts.join(own, [*keys, "__piece"], "left").drop("__piece")
