@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import pickle
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What parts words, in Spark's regular expressions: the space and the control characters 9 to 13. In tasks,
 #: bytes.split() parts UTF-8 text at exactly these.
 GAP_JVM = r"[\x20\x09-\x0D]+"
-#: Rows of an Arrow batch while a step is written.
-BATCH = 2000
+#: Rows and bytes of an Arrow batch while a step is written. Bytes bound what long texts take at once, in the JVM
+#: and in the worker; a single longer text still goes through as a batch of its own.
+BATCH, BATCH_BYTES = 2000, 4 << 20
 
 
 class Memo(dict):
@@ -49,11 +52,35 @@ def kept(key: tuple, make: Callable):
     serves several operators doesn't hold the models and memos of all."""
     if key not in _KEPT:
         _KEPT.clear()
-        gc.collect()
+        give_back()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def give_back() -> None:
+    """Hand this worker's free memory back to the system. Workers outlive a stage, and what one stage freed but
+    still holds would add to what the next one needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def lean(step: Callable) -> Callable:
+    """``step`` for mapInArrow in a worker that holds no model: those of earlier stages go first, and what the
+    task freed is handed back after it."""
+    def run(batches: Iterator) -> Iterator:
+        kept((), tuple)
+        try:
+            yield from step(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def doc_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under fixed names and types."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -86,7 +113,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     shuffles of one step at a time. Texts go to Python ``BATCH`` rows at a time meanwhile.
     """
     spark, path = df.sparkSession, new_folder(df.sparkSession, name)
-    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH),
+           "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
     before = {k: spark.conf.get(k, None) for k in own}
     for k, v in own.items():
         spark.conf.set(k, v)
@@ -114,8 +142,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def gather(df: DataFrame, fold: Callable, merge: Callable, fan: int = 16):
     """One value from all rows: ``fold`` makes one of each partition's Arrow batches (or None), ``merge`` one of a
     list of those. Merged in ``fan`` tasks first, so at most ``fan`` values reach the driver. None without rows."""
-    import pyarrow as pa
-
     def carry(value) -> list:
         return [] if value is None else [pa.RecordBatch.from_arrays([pa.array([pickle.dumps(value)], pa.binary())], ["value"])]
 

@@ -1,6 +1,6 @@
 """Language ID by cross-parsing entropy.
 
-Labelled text of each language becomes a suffix automaton. A text is parsed against each language into
+The most frequent words of each language's labelled text, one after the other, become a suffix automaton. A text is parsed against each language into
 phrases, each the longest match that the automaton has from there on (or one unseen character); the language
 that needs the fewest phrases for the length parsed wins. Every language gets labelled text of the same length.
 Words are parsed one by one with their boundaries, so each distinct word is parsed once per Python worker
@@ -98,9 +98,9 @@ class SuffixAutomaton:
 class Parser:
     """Predicts with the automata of all languages."""
 
-    def __init__(self, model: dict[str, str]):
+    def __init__(self, model: dict[str, str], automata: list[SuffixAutomaton] | None = None):
         self.langs = sorted(model)
-        self.automata = [SuffixAutomaton(model[x]) for x in self.langs]
+        self.automata = automata or [SuffixAutomaton(model[x]) for x in self.langs]
         self.size = [len(model[x]) for x in self.langs]
         self.memo = Memo(self._parse, MEMO_ENTRIES, MEMO_CHARS)
 
@@ -122,8 +122,8 @@ class Parser:
 
 
 def parser_for(key: str, shared) -> Parser:
-    """This worker's parser of the broadcast model."""
-    return kept(("language", key), lambda: Parser(shared.value))
+    """This worker's parser of the broadcast model and its automata."""
+    return kept(("language", key), lambda: Parser(*shared.value))
 
 
 def train(docs: DataFrame, per_language: int = 200, chars: int = 60_000,
@@ -159,7 +159,8 @@ def identify(docs: DataFrame, model: dict[str, str], id_col: str = "doc_id", tex
     The whole text is parsed. Null texts and texts without a letter are ``und`` with score 0, as is all
     without a trained language. Ties go to the language with more labelled text, then to the label that sorts first. Repeated rows are each predicted.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Built here once, a few bytes a transition; while an automaton grows it takes many times that.
+    shared = docs.sparkSession.sparkContext.broadcast((model, [SuffixAutomaton(model[x]) for x in sorted(model)]))
     key = hashlib.sha256(repr(sorted(model.items())).encode()).hexdigest()
     given = text_col in keep  # then the text goes to Python once, as a column to carry along
     body = [] if given else [F.col(text_col).cast("string").alias("_body")]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions
+from .common import lean, materialize, shuffle_partitions
 from .components import connected_components
 
 SEED = 42  # of XXH64; fixed value
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             made = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(len(fields))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made.view(np.int64))], names=[*batch.schema.names[:-1], "fp"])
 
-    return picked.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", fp long")
+    return picked.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", fp long")
 
 
 def planes(fps: np.ndarray) -> np.ndarray:

@@ -24,6 +24,7 @@ not built in a task; its phrases are looked up one by one, by aggregates and joi
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, materialize, shuffle_partitions
+from .common import lean, materialize, release, shuffle_partitions
 
 GRAM = 4
 #: A block of more runs than this, and than a SHARE-th of all runs, is factored phrase by phrase instead.
@@ -159,7 +160,7 @@ def factor_blocks(runs: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(1), pa.array(new, type=pa.int64())],
                                              names=["anchor", "run_hash", "first", "new"])
 
-    return dealt.mapInArrow(parse, "anchor long, run_hash long, first long, new long")
+    return dealt.mapInArrow(lean(parse), "anchor long, run_hash long, first long, new long")
 
 
 def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
@@ -178,7 +179,6 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
                        F.col(id_col).cast("long").alias("doc_id"), *keep, text.alias("_body"))
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept((), tuple)  # a model of an earlier stage goes
         for batch in batches:
             for low in range(0, batch.num_rows, 1000):
                 some = batch.slice(low, 1000)
@@ -198,7 +198,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found_in)))],
                     names=["d", "tag", "n_words", "digest", "anchors"])
 
-    base = materialize(rows.select("d", "tag", "_body").mapInArrow(survey, "d long, tag long, n_words long, digest binary, anchors array<long>"), "anchors")
+    base = materialize(rows.select("d", "tag", "_body").mapInArrow(lean(survey), "d long, tag long, n_words long, digest binary, anchors array<long>"), "anchors")
 
     # Documents of equal words: all but the first are settled, and the first stands for them. What a join
     # hands back to all rows of a key is a table of its own, so that Spark can split a hot key's partition.
@@ -217,20 +217,25 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
     def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 200):
-                out: list[tuple] = []
                 some = batch.slice(low, 200)
-                for d, tag, body, shared_ in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), some.column(2), some.column(3)):
+                owner, numbers, texts = array("q"), array("q"), []  # row; start, phrases, anchor; run
+                for row, (body, shared_) in enumerate(zip(some.column(2), some.column(3))):
                     found = body.as_py().encode().split() if body.is_valid else []
                     if len(found) >= window:
                         known = shared_.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                        out.extend((d, tag, *x) for x in runs_of(found, known, window))
-                if out:
+                        for start, phrases, anchor, run in runs_of(found, known, window):
+                            owner.append(row)
+                            numbers.extend((start, phrases, anchor))
+                            texts.append(run)
+                if texts:
+                    of, cut = pa.array(np.frombuffer(owner, dtype=np.int64)), np.frombuffer(numbers, dtype=np.int64).reshape(-1, 3)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, type=t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string()))],
+                        [some.column(0).take(of), some.column(1).take(of), pa.array(cut[:, 0].astype(np.int32)), pa.array(cut[:, 1].astype(np.int32)),
+                         pa.array(np.ascontiguousarray(cut[:, 2])), pa.array(texts, type=pa.string())],
                         names=["d", "tag", "start", "phrases", "anchor", "run"])
 
     runs = materialize(rows.select("d", "tag", "_body").join(wanted, ["d", "tag"]).select("d", "tag", "_body", "anchors")
-                       .mapInArrow(cut_runs, "d long, tag long, start int, phrases int, anchor long, run string"), "runs")
+                       .mapInArrow(lean(cut_runs), "d long, tag long, start int, phrases int, anchor long, run string"), "runs")
     hot = F.broadcast(hot_anchors(runs))  # at most SHARE rows
     parsed = materialize(factor_blocks(runs.join(hot, "anchor", "left_anti"), window)
                          .unionByName(factor_phrases(runs.join(hot, "anchor", "left_semi"), window)), "parsed")
@@ -242,6 +247,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
     whole = copies.select("d", "tag", F.lit(-1).alias("start"), F.lit(0).alias("phrases"), F.lit(0).cast("long").alias("new"))
     cuts = judged.unionByName(whole).groupBy("d", "tag").agg(F.collect_set(F.struct("start", "phrases", "new")).alias("cuts"))
     cuts = materialize(cuts, "factors").withColumnsRenamed({"d": "cut_d", "tag": "cut_tag"})
+    release(base, firsts, placed, shared, wanted, runs, parsed)
 
     out_fields = [f for f in rows.schema.fields if f.name not in ("d", "tag", "_body")]
     span = pa.struct([("start", pa.int32()), ("length", pa.int32())])
@@ -283,4 +289,4 @@ def duplicate_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
     joined = rows.join(cuts, (F.col("d") == F.col("cut_d")) & (F.col("tag") == F.col("cut_tag")), "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields)
     return joined.select(*[f.name for f in out_fields], "_body", "cuts").mapInArrow(
-        remove, schema + ", n_words long, n_removed long, spans array<struct<start: int, length: int>>, kept string")
+        lean(remove), schema + ", n_words long, n_removed long, spans array<struct<start: int, length: int>>, kept string")
