@@ -21,9 +21,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: null texts and texts without a letter go."""
+    """Documents with a language: null texts and texts without a letter go. A document without ``lang`` gets the predicted one."""
     named = identify(docs, train(docs), keep=("text", "lang", "source", "n_chars"))
-    return materialize(named.where(F.col("lang_pred") != UNKNOWN).select(*COLUMNS), "language")
+    lang = F.coalesce("lang", "lang_pred").alias("lang")
+    return materialize(named.where(F.col("lang_pred") != UNKNOWN).select("doc_id", "text", lang, "source", "n_chars"), "language")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
